@@ -10,7 +10,8 @@ from ratewell.catalog.registry import FACT_SPEC, TIDY_SPEC, query
 from ratewell.catalog.tables import AS_OF, LOADED, Tables
 from ratewell.operators import complete, lookup, pooling, standardise
 from ratewell.plans import calculate, quality
-from ratewell.schema import DASR_KEYS
+from ratewell.schema import DASR_KEYS, TIDY_SCHEMA
+from ratewell.sources.landing import stage
 
 
 def _enriched(t: Tables) -> DataFrame:
@@ -351,9 +352,14 @@ _CHECKED = (
 )
 
 
+def _published(t: Tables) -> DataFrame:
+    """The published table, which the checks read."""
+    return stage(_result(t).combined, TIDY_SCHEMA)
+
+
 def _checked(t: Tables) -> DataFrame:
     low = F.when(F.col("aggregation_id") == 7, None).otherwise(F.col("lower_ci95"))
-    return _result(t).combined.withColumn("lower_ci95", low)
+    return _published(t).withColumn("lower_ci95", low)
 
 
 @query(
@@ -363,7 +369,7 @@ def _checked(t: Tables) -> DataFrame:
     "combined",
 )
 def check_row_counts(t):
-    return quality.check_row_counts(_result(t).combined, t.facts())
+    return quality.check_row_counts(_published(t), t.facts())
 
 
 _MISSING = " OR ".join(
@@ -425,7 +431,7 @@ def check_combinations(t):
     "combined",
 )
 def check_duplicates(t):
-    return quality.check_duplicates(_result(t).combined)
+    return quality.check_duplicates(_published(t))
 
 
 @query(

@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewell.operators.joins import bounded
+from ratewell.operators.joins import bounded, local_table
 from ratewell.operators.sets import union_by_name
 from ratewell.schema import FACT_COLS, FACT_SCHEMA, GEOGRAPHY
 from ratewell.sources.landing import stage
@@ -286,7 +286,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def local(self, rows: list[tuple], schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        return local_table(self.spark, rows, schema)
 
     # dimensions ---------------------------------------------------------------------------
     def metadata(self) -> DataFrame:

@@ -12,22 +12,31 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 10_000
 SALTS = 32
 HOT_SHARE = 0.005
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A constant table that carries its exact size, so that Spark can broadcast it."""
+    layout = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = zip(*rows) if rows else [()] * len(layout)
+    table = pa.table({f.name: pa.array(list(c)) for f, c in zip(layout, columns)})
+    return spark.createDataFrame(table, layout)
+
+
 def bounded(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` as local rows when it has at most ``max_rows``, else unchanged.
+    """``df`` as a constant table when it has at most ``max_rows``, else unchanged.
 
-    Local rows carry their exact size, so Spark broadcasts them by its own rule.  At most
-    ``max_rows + 1`` rows reach the driver.
+    Spark then broadcasts it by its own size rule.  At most ``max_rows + 1`` rows reach the driver.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return df.sparkSession.createDataFrame(rows, df.schema)
 

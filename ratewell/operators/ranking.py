@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewell.operators.joins import bounded
+from ratewell.operators.joins import bounded, local_table
 from ratewell.session import use_checkpoints
 
 
@@ -124,10 +124,10 @@ def with_surrogate_id(
         seen += row["count"]
     if not starts:
         return df.withColumn(name, F.lit(None).cast("bigint"))
-    offsets = spark.createDataFrame(list(starts.items()), "__range int, __start bigint")
+    offsets = local_table(spark, list(starts.items()), "__range int, __start bigint")
     within = Window.partitionBy("__range").orderBy(*order, *rest)
     return (
-        placed.join(F.broadcast(offsets), "__range")
+        placed.join(offsets, "__range")
         .withColumn(name, F.col("__start") + F.row_number().over(within))
         .select(*df.columns, name)
     )

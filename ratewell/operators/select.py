@@ -61,10 +61,13 @@ def select_indicators(df: DataFrame, ids: IndicatorIds = None, column: str = "in
 
 
 def clean_types(df: DataFrame) -> DataFrame:
-    """Cast the tidy columns; a value that does not fit becomes NULL."""
-    return df.withColumns(
-        {f.name: casts.coerce(F.col(f.name), f.dataType) for f in TIDY_SCHEMA if f.name in df.columns}
-    )
+    """Cast the tidy columns; a value that does not fit becomes NULL.
+
+    Columns that have their type already are left alone, so filters on them still reach the scan.
+    """
+    present = {f.name: f.dataType for f in df.schema}
+    wrong = [f for f in TIDY_SCHEMA if f.name in present and present[f.name] != f.dataType]
+    return df.withColumns({f.name: casts.coerce(F.col(f.name), f.dataType) for f in wrong})
 
 
 def with_combination_id(df: DataFrame) -> DataFrame:

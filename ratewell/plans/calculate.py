@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from ratewell.functions import casts, intervals
 from ratewell.operators import select
 from ratewell.operators.complete import exclude_incomplete
+from ratewell.operators.joins import bounded
 from ratewell.operators.lookup import one_age_per_indicator, with_metadata, with_stdpop
 from ratewell.operators.pooling import pool_years
 from ratewell.operators.sets import union_by_name
 from ratewell.operators.standardise import dsr, dsr_validate, signed
-from ratewell.schema import CODES, DASR_KEYS, PROCESSED_SCHEMA, TIDY_COLS
+from ratewell.schema import CODES, DASR_KEYS, METADATA_COLS, PROCESSED_SCHEMA, TIDY_COLS
 
 KEEP, SKIP, PERCENTAGE, RATE, DASR, UNSUPPORTED = (
     "keep", "skip", "percentage", "rate", "dasr", "unsupported"
@@ -154,6 +155,7 @@ def calculate_values(
     Rows of incomplete periods leave first; census rows are pooled into windows; every row is then
     routed.  All routes but one work row by row and share one pass.
     """
+    metadata, ages = bounded(metadata.select(METADATA_COLS)), bounded(ages)
     facts = with_metadata(prepare(data), metadata)
     kept, excluded = exclude_incomplete(facts, current_date=current_date)
     pooled = with_metadata(pool_years(kept, spans, only_yearly=only_yearly), metadata)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratewell.operators.joins import local_table
 from ratewell.operators.ranking import quantile_band
 from ratewell.sources.sinks import overwrite_table
 
@@ -24,7 +25,7 @@ def age_groups(spark: SparkSession, ranges: dict[int, tuple[int, int, str]] | No
     for code, (low, high, label) in (ranges or {}).items():
         rows.append((code, "Other", low, high, label))
     labelled = [(*r, r[4] if r[0] >= 19 else f"{r[4]} yrs") for r in rows]
-    return spark.createDataFrame(labelled, AGE_SCHEMA)
+    return local_table(spark, labelled, AGE_SCHEMA)
 
 
 def ward_quintiles(wards: DataFrame) -> DataFrame:
