@@ -31,6 +31,18 @@ def _by_indicator(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "indicator_id")
 
 
+def _overwrite(df: DataFrame, table: str, mode: str) -> None:
+    """Insert-overwrite with the given partition mode, which only the session setting decides."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, mode)
+    try:
+        _by_indicator(df).write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(key, before)
+
+
 def replace_indicators(df: DataFrame, table: str, ids: IndicatorIds = None) -> None:
     """Delete the rows of ``ids`` from the table, then append ``df``; no ids delete every row.
 
@@ -39,25 +51,20 @@ def replace_indicators(df: DataFrame, table: str, ids: IndicatorIds = None) -> N
     """
     spark = df.sparkSession
     wanted = normalise_ids(ids)
-    columns = spark.table(table).columns
-    new = df.select(columns)
+    new = df.select(spark.table(table).columns)
     if wanted is None:
-        _by_indicator(new).write.option("partitionOverwriteMode", "static").insertInto(
-            table, overwrite=True
-        )
+        _overwrite(new, table, "static")
         return
     numbers = [int(i) for i in wanted if not isinstance(i, str)]
-    listed = F.col("indicator_id").isin(numbers)
-    replaced = new.filter(listed)
+    listed = F.coalesce(F.col("indicator_id").isin(numbers), F.lit(False))
+    replaced, others = new.filter(listed), new.filter(~listed)
     # At most one row per requested id.
     present = {r[0] for r in replaced.select("indicator_id").distinct().collect()}
     for number in numbers:
         if number not in present:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (indicator_id = {number})")
-    _by_indicator(replaced).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        table, overwrite=True
-    )
-    others = new.filter(~F.coalesce(listed, F.lit(False)))
+    if present:
+        _overwrite(replaced, table, "dynamic")
     _by_indicator(others).write.insertInto(table)
 
 
