@@ -11,7 +11,7 @@ from ratewell.catalog.tables import AS_OF, LOADED, Tables
 from ratewell.operators import complete, lookup, pooling, standardise
 from ratewell.plans import calculate, quality
 from ratewell.schema import DASR_KEYS, TIDY_SCHEMA
-from ratewell.sources.landing import stage
+from ratewell.staging import stage
 
 
 def _enriched(t: Tables) -> DataFrame:

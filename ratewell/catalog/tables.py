@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ratewell.operators.joins import bounded, local_table
 from ratewell.operators.sets import union_by_name
 from ratewell.schema import FACT_COLS, FACT_SCHEMA, GEOGRAPHY
-from ratewell.sources.landing import stage
 from ratewell.sources.reference import age_groups
+from ratewell.staging import stage
 
 # The day the calculation runs, and the last day of data: the periods then open are incomplete.
 AS_OF = date(2001, 6, 30)
@@ -404,7 +404,7 @@ class Tables:
 
     def landing(self) -> DataFrame:
         """The facts as a staging table, for calculations that read them several times."""
-        return stage(self.facts())
+        return stage(self.facts(), FACT_SCHEMA)
 
     # sources of the indicator builds ------------------------------------------------------
     def register(self) -> DataFrame:

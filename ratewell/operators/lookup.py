@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.functions import codes
-from ratewell.operators.joins import lookup_join, spread_join
+from ratewell.operators.joins import bounded, lookup_join, spread_join
 from ratewell.schema import CODES, ESP2013, METADATA_COLS
 
 
@@ -47,7 +47,7 @@ def with_fy_dates(df: DataFrame, dates: DataFrame, column: str = "financial_year
     years = dates.select(
         F.col("financial_year_name").alias(column), "start_date", "end_date"
     ).distinct()
-    return df.join(years, column)
+    return df.join(bounded(years), column)
 
 
 def with_financial_year(df: DataFrame, dates: DataFrame, column: str = "time_period") -> DataFrame:
@@ -56,7 +56,7 @@ def with_financial_year(df: DataFrame, dates: DataFrame, column: str = "time_per
         F.col("reconciliation_month").alias(column),
         F.col("financial_year_name").alias("financial_year"),
     ).distinct()
-    return df.join(months, column, "left")
+    return df.join(bounded(months), column, "left")
 
 
 def with_practice(df: DataFrame, practices: DataFrame) -> DataFrame:

@@ -8,12 +8,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.operators.joins import bounded, local_table
-from ratewell.session import use_checkpoints
+from ratewell.staging import stage
 
 
-def _slice_of(value: Column, bounds: list[float]) -> Column:
-    """Number of ``bounds`` below ``value``."""
-    return reduce(lambda a, b: a + b, [(value > b).cast("int") for b in bounds], F.lit(0))
+def _placed(df: DataFrame, order: list[str], partitions: int | None) -> DataFrame:
+    """``df`` in ranges of ``order``, numbered in a ``__range`` column.
+
+    The rows are written to a table: the work behind them is done once, and a recomputed task
+    cannot move a row to another range.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, *order)
+    return stage(ranged.withColumn("__range", F.spark_partition_id()))
+
+
+def _matches(by: list[str]) -> Column:
+    return reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by], F.lit(True)
+    )
 
 
 def quantile_band(
@@ -23,45 +35,36 @@ def quantile_band(
     invert: bool = True,
     by: list[str] | None = None,
     name: str = "quantile",
-    slices: int = 64,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Band 1..n of a value by its smallest rank, so equal values share a band.
 
-    With ``invert`` the highest value is in band 1.  Values are counted first and ranked in value
-    slices whose sizes are added up; each band is then one value range per group, so rows are
+    With ``invert`` the highest value is in band 1.  Distinct values are counted and ranked in
+    ranges whose sizes are added up; each band is then one span of values per group, so rows are
     banded by comparison and no crowded value or group meets in one task.
     """
     by = by or []
     value = F.col(column)
+    order = F.desc if invert else F.asc
     counted = (
         df.filter(value.isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
     )
-    # At most `slices` cut points reach the driver; they only balance the work.
-    cuts = counted.agg(
-        F.percentile_approx(column, [i / slices for i in range(1, slices)], 1000)
-    ).first()[0]
-    sliced = counted.withColumn("__slice", _slice_of(value, sorted(set(cuts or []))))
+    placed = _placed(counted, [*by, column], partitions)
 
-    order = F.desc if invert else F.asc
-    sizes = sliced.groupBy(*by, "__slice").agg(F.sum("__n").alias("__size"))
+    # One row per group and range.
+    sizes = placed.groupBy(*by, "__range").agg(F.sum("__n").alias("__size"))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    earlier = group.orderBy(order("__slice")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most `slices` rows per group.
+    earlier = group.orderBy(order("__range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = bounded(
         sizes.select(
             *[F.col(k).alias(f"__{k}") for k in by],
-            F.col("__slice").alias("__at"),
+            F.col("__range").alias("__at"),
             F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"),
             F.sum("__size").over(group).alias("__total"),
         )
     )
-    matches = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by],
-        F.col("__slice") == F.col("__at"),
-    )
     inside = (
-        Window.partitionBy(*by, "__slice")
+        Window.partitionBy(*by, "__range")
         .orderBy(order(column))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -69,15 +72,14 @@ def quantile_band(
     left_over = F.col("__total") + 1 - F.col("__rank")
     band = F.floor(F.lit(n + 1) - F.ceil(left_over / (F.col("__total") / n)))
     ranked = (
-        sliced.join(offsets, matches)
+        placed.join(offsets, _matches(by) & (F.col("__range") == F.col("__at")))
         .withColumn("__rank", rank)
         .withColumn("__band", F.when(band == 0, 1).otherwise(band))
     )
-    # The first value of each band, one row per group.
+    # The last value of each band, one row per group.
     edge = F.min if invert else F.max
     edges = bounded(
         ranked.groupBy(*[F.col(k).alias(f"__{k}") for k in by]).agg(
-            F.lit(True).alias("__banded"),
             *[edge(F.when(F.col("__band") == b, value)).alias(f"__edge{b}") for b in range(1, n + 1)],
         )
     )
@@ -86,15 +88,13 @@ def quantile_band(
         return value >= edge_value if invert else value <= edge_value
 
     if by:
-        matches = reduce(
-            lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by]
-        )
-        joined = df.join(edges, matches, "left")
+        joined = df.join(edges, _matches(by), "left")
         edge_of = {b: F.col(f"__edge{b}") for b in range(1, n + 1)}
     else:
         first = edges.first()
         joined = df
-        edge_of = {b: F.lit(first[f"__edge{b}"]).cast("double") for b in range(1, n + 1)}
+        kind = df.schema[column].dataType
+        edge_of = {b: F.lit(first[f"__edge{b}"]).cast(kind) for b in range(1, n + 1)}
     banded = F.coalesce(*[F.when(reached(e), b) for b, e in edge_of.items()])
     return joined.withColumn(name, banded).select(*df.columns, name)
 
@@ -102,29 +102,16 @@ def quantile_band(
 def with_surrogate_id(
     df: DataFrame, order: list[str], name: str = "population_id", partitions: int | None = None
 ) -> DataFrame:
-    """Dense ids 1..N in ``order``.
-
-    Rows are placed by range and written to the checkpoint folder, which fixes the place of every
-    row; each range then numbers its own rows after those of the earlier ranges.
-    """
-    spark = df.sparkSession
-    use_checkpoints(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Dense ids 1..N in ``order``: each range numbers its rows after those of earlier ranges."""
     rest = [c for c in df.columns if c not in order]
-    placed = (
-        df.repartitionByRange(partitions, *order, *rest)
-        .withColumn("__range", F.spark_partition_id())
-        .checkpoint()
-    )
-    # One row per range.
+    placed = _placed(df, [*order, *rest], partitions)
+    # One row per range reaches the driver.
     sizes = placed.groupBy("__range").count().collect()
-    starts, seen = {}, 0
+    starts, seen = [], 0
     for row in sorted(sizes, key=lambda r: r["__range"]):
-        starts[row["__range"]] = seen
+        starts.append((row["__range"], seen))
         seen += row["count"]
-    if not starts:
-        return df.withColumn(name, F.lit(None).cast("bigint"))
-    offsets = local_table(spark, list(starts.items()), "__range int, __start bigint")
+    offsets = local_table(df.sparkSession, starts, "__range int, __start bigint")
     within = Window.partitionBy("__range").orderBy(*order, *rest)
     return (
         placed.join(offsets, "__range")

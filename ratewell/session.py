@@ -38,9 +38,3 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="ratewell-")
-
-
-def use_checkpoints(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder unless the session already does."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

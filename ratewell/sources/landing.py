@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +10,6 @@ from ratewell.functions import casts, names
 from ratewell.operators.select import filter_areas
 from ratewell.operators.sets import union_by_name
 from ratewell.schema import FACT_COLS, FACT_SCHEMA
-from ratewell.session import shared_dir
 
 MAX_HEADERS = 1_000
 
@@ -21,18 +18,6 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(path)
 
 
-def stage(df: DataFrame, layout: T.StructType = FACT_SCHEMA) -> DataFrame:
-    """Facts as a staging table in the shared folder, read back.
-
-    A calculation reads its facts several times; the table spares it the work behind them and
-    outlives a lost executor.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staging-{uuid4().hex}"
-    df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in layout]).write.parquet(path)
-    return spark.read.schema(layout).parquet(path)
-
-
 def read_dim(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
