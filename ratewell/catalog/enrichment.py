@@ -87,7 +87,7 @@ def events(t: Tables):
 
 def detailed(t: Tables):
     return build.with_episode_details(
-        events(t), t.episodes(0), t.episodes(1), t.demographic(), t.dates()
+        events(t), [(0, t.episodes(0)), (1, t.episodes(1))], t.demographic(), t.dates()
     )
 
 

@@ -153,41 +153,51 @@ def numerator_events(
 
 def with_episode_details(
     events: DataFrame,
-    current: DataFrame,
-    historic: DataFrame,
+    extracts: list[tuple[int, DataFrame]],
     demographic: DataFrame,
     dates_table: DataFrame,
 ) -> DataFrame:
     """Month, year, age and cleaned ethnicity of each event.
 
-    The local demographic table comes first for ethnicity, the current extract fills what is left.
+    Every extract (historic flag, episodes) details its own events.  The local demographic table
+    comes first for ethnicity; what is left is filled from the current extract (flag 0).  The
+    extracts are brought to one row per episode together, so the events meet them in one join.
     """
-    text = F.lit(None).cast("string")
-    blank = events.withColumns(
-        {
-            "time_period": F.lit(None).cast("int"),
-            "age": F.lit(None).cast("int"),
-            "person_id": F.lit(None).cast("bigint"),
-            "ethnicity": text,
-            "raw_ethnicity": text,
-        }
+    own = ["person_id", "age", "reconciliation_month"]
+    every = union_by_name(
+        *[
+            episodes.select("episode_id", *own, "ethnic_category", F.lit(flag).alias("__flag"))
+            for flag, episodes in extracts
+        ]
     )
-    own = {"time_period": "reconciliation_month", "age": "age", "person_id": "person_id"}
-    filled = lookup.fill_from(
-        blank,
-        [(current, F.col("historic") == 0), (historic, F.col("historic") == 1)],
-        ["episode_id"],
-        own,
+    raw = F.min(F.when(F.col("__flag") == 0, F.col("ethnic_category"))).alias("__raw")
+    details = every.groupBy("episode_id").agg(
+        raw,
+        *[
+            F.min(F.when(F.col("__flag") == flag, F.col(c))).alias(f"__{c}_{flag}")
+            for c in own
+            for flag, _ in extracts
+        ],
     )
-    filled = lookup.fill_from(
-        filled, [(current, None)], ["episode_id"], {"raw_ethnicity": "ethnic_category"}
+    joined = events.join(details, "episode_id", "left")
+    detailed = joined.select(
+        "episode_id",
+        "historic",
+        *[
+            F.coalesce(
+                *[F.when(F.col("historic") == flag, F.col(f"__{c}_{flag}")) for flag, _ in extracts]
+            ).alias("time_period" if c == "reconciliation_month" else c)
+            for c in own
+        ],
+        F.lit(None).cast("string").alias("ethnicity"),
+        "__raw",
     )
     known = lookup.fill_from(
-        filled, [(demographic, None)], ["person_id"], {"ethnicity": "ethnic_code"}, crowded=True
+        detailed, [(demographic, None)], ["person_id"], {"ethnicity": "ethnic_code"}, crowded=True
     )
     cleaned = known.withColumn(
-        "ethnicity", codes.clean_ethnicity(F.coalesce("ethnicity", "raw_ethnicity"))
-    ).drop("raw_ethnicity")
+        "ethnicity", codes.clean_ethnicity(F.coalesce("ethnicity", "__raw"))
+    ).drop("__raw")
     return lookup.with_financial_year(cleaned, dates_table)
 
 

@@ -29,9 +29,14 @@ def read_snake(spark: SparkSession, path: str, drop: list[str] | None = None) ->
     return df.toDF(*names.snake(df.columns)).drop(*(drop or []))
 
 
+def plain_path(path: str = "file_path") -> Column:
+    """The path with escaped characters restored."""
+    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: str = "file_path") -> Column:
-    """Last part of a path, with escaped characters restored."""
-    return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"), F.lit("%2B")))
+    """Last part of the path."""
+    return F.element_at(F.split(plain_path(path), "/"), -1)
 
 
 def csv_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -39,8 +44,9 @@ def csv_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     lines = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    first = F.min_by("value", F.struct("block", F.monotonically_increasing_id().alias("line")))
+    first = F.min_by("value", F.struct("block", "line"))
     return lines.groupBy("file_path").agg(first.alias("header"))
 
 
@@ -50,7 +56,7 @@ def read_by_header(spark: SparkSession, headers: DataFrame) -> DataFrame | None:
     Adds the ``file_name`` of each row.
     """
     groups = (
-        headers.groupBy("header").agg(F.collect_list("file_path").alias("files"))
+        headers.groupBy("header").agg(F.collect_list(plain_path()).alias("files"))
         .limit(MAX_HEADERS + 1).collect()
     )
     if len(groups) > MAX_HEADERS:
