@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,11 @@ def coerce(c: Column, target: T.DataType) -> Column:
     return c.try_cast(target)
 
 
+def instant(at: datetime) -> Column:
+    """A timestamp constant; one without a zone is read in the zone of the session."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def missing(c: Column) -> Column:
     """True for NULL and NaN."""
     return c.isNull() | F.isnan(c)

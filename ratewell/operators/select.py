@@ -83,9 +83,15 @@ def with_duration_label(df: DataFrame) -> DataFrame:
     )
 
 
+def _constant(value: object) -> Column:
+    if isinstance(value, Column):
+        return value
+    return casts.instant(value) if isinstance(value, datetime) else F.lit(value)
+
+
 def stamp(df: DataFrame, **constants: object) -> DataFrame:
     """Set constant columns and clear the result columns of rows still to be calculated."""
-    values = {name: v if isinstance(v, Column) else F.lit(v) for name, v in constants.items()}
+    values = {name: _constant(v) for name, v in constants.items()}
     empty = {name: F.lit(None).cast("double") for name in RESULT_COLS if name not in values}
     return df.withColumns({**empty, **values})
 
@@ -100,7 +106,7 @@ def finite_or_null(df: DataFrame, columns: Iterable[str] = FLOAT_COLS) -> DataFr
 
 
 def with_insertion_time(df: DataFrame, at: datetime | None = None) -> DataFrame:
-    stamp_at = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    stamp_at = F.current_timestamp() if at is None else casts.instant(at)
     return df.withColumn("insertion_date_time", stamp_at)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -48,14 +48,6 @@ class Indicator:
     creation_date: datetime
     source_code: int = CODES.warehouse_source
 
-    def stamps(self) -> dict[str, Column]:
-        return {
-            "indicator_id": F.lit(self.indicator_id),
-            "value_type_code": F.lit(self.value_type_code),
-            "source_code": F.lit(self.source_code),
-            "creation_date": F.lit(self.creation_date).cast("timestamp"),
-        }
-
 
 def area_ids(geography: DataFrame, types: dict[str, str]) -> DataFrame:
     """Id of each (level, area): localities by label, the other levels by code."""
@@ -70,7 +62,7 @@ def area_ids(geography: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def as_facts(df: DataFrame, indicator: Indicator) -> DataFrame:
     """Stamped rows in the landing layout."""
-    stamped = select.stamp(df, **indicator.stamps())
+    stamped = select.stamp(df, **asdict(indicator))
     return stamped.select([casts.coerce(F.col(f.name), f.dataType).alias(f.name) for f in FACT_SCHEMA])
 
 
