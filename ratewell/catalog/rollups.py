@@ -176,14 +176,23 @@ def distinct_patients(t):
     "audit_combined",
 )
 def combined_counts(t):
-    eligible = F.col("condition").isin("1-URGENT", "2-HIGH")
-    keys = build.AUDIT_KEYS
-    audit, demographic = t.audit(), t.demographic()
-    denominators = build.audit_counts(audit, demographic, eligible, "denominator")
-    numerators = build.audit_counts(
-        audit, demographic, eligible & (F.col("complete") == 1), "numerator"
+    """Numerators and denominators counted apart, then brought together."""
+    people = t.audit().filter(F.col("condition").isin("1-URGENT", "2-HIGH"))
+    known = lookup.update_from(people, t.demographic(), ["person_id"], "ethnicity", "ethnic_code", crowded=True)
+    denominators = rollup.person_counts(known, build.AUDIT_KEYS, "person_id", "denominator")
+    numerators = rollup.person_counts(known.filter("complete = 1"), build.AUDIT_KEYS, "person_id")
+    return rollup.combine_num_den(numerators, denominators, build.AUDIT_KEYS)
+
+
+@query(
+    "financial_year:t imd_quintile:t age:i sex:i ethnicity:t practice_code:t numerator:n denominator:n",
+    "SELECT * FROM audit_combined",
+    "audit_combined",
+)
+def audit_counts(t):
+    return build.audit_counts(
+        t.audit(), t.demographic(), F.col("condition").isin("1-URGENT", "2-HIGH"), F.col("complete") == 1
     )
-    return rollup.combine_num_den(numerators, denominators, keys)
 
 
 def _facts_sql(source: str, stamps: dict[str, str]) -> str:

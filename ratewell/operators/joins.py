@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL_ROWS = 10_000
+SMALL_ROWS = 100_000
 SALTS = 32
 HOT_SHARE = 0.005
 
@@ -88,12 +88,14 @@ def spread_join(
     """``lookup_join`` for a lookup that may be large and facts that may crowd on a few keys.
 
     Up to ``small_rows`` rows in ``probe`` (the table the lookup was made from, by default the
-    lookup itself) the plain join is used.  Beyond that the hot keys of ``df`` are
+    lookup itself) the lookup becomes a constant table.  Beyond that the hot keys of ``df`` are
     spread over ``salts`` shuffle keys and only their lookup rows are repeated, so every other key
     is joined once.  The salt depends on the row content alone: a recomputed task gives it again.
     """
-    if is_small(lookup if probe is None else probe, small_rows):
-        return df.join(lookup, on, how)
+    if probe is None or is_small(probe, small_rows):
+        constant = bounded(lookup, small_rows)
+        if constant is not lookup:
+            return df.join(constant, on, how)
     # At most 1 / HOT_SHARE rows.
     hot = F.broadcast(hot_keys(df, on).withColumn("__hot", F.lit(True)))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(0)

@@ -148,7 +148,8 @@ def with_small_area(
 
 def keep_footprint(df: DataFrame, allowed: DataFrame) -> DataFrame:
     """Rows whose 2021 small area is listed; a NULL area is dropped."""
-    return df.join(allowed.select("lsoa_2021").distinct(), "lsoa_2021", "left_semi")
+    listed = bounded(allowed.select("lsoa_2021").distinct())
+    return df.join(listed, "lsoa_2021", "left_semi")
 
 
 def map_geography(

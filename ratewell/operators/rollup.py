@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.functions import codes
-from ratewell.operators.joins import same, spread_join
+from ratewell.operators.joins import spread_join
 from ratewell.schema import CODES, GEOGRAPHY, POPULATION_KEYS, Geography
 
 PCN, LOCALITY, AUTHORITY, ICB, WARD = "pcn", "locality", "la", "icb", "ward"
@@ -135,15 +133,18 @@ def person_counts(df: DataFrame, keys: list[str], person: str, name: str = "nume
 def combine_num_den(numerators: DataFrame, denominators: DataFrame, keys: list[str]) -> DataFrame:
     """Every denominator group with its numerator, 0 where there were no events.
 
-    Both sides hold one row per group; groups with NULL keys match each other.
+    Groups with NULL keys match each other.  Both sides are stacked and summed, which takes one
+    shuffle of the groups instead of a join's two.
     """
-    counts = numerators.select(*[F.col(k).alias(f"__{k}") for k in keys], "numerator")
-    matches = reduce(
-        lambda a, b: a & b, [same(F.col(k), F.col(f"__{k}"), True) for k in keys]
+    stacked = denominators.select(*keys, "denominator", F.lit(True).alias("__den")).unionByName(
+        numerators.select(*keys, "numerator"), allowMissingColumns=True
     )
-    return denominators.join(counts, matches, "left").select(
-        *keys, F.coalesce("numerator", F.lit(0.0)).alias("numerator"), "denominator"
+    summed = stacked.groupBy(*keys).agg(
+        F.coalesce(F.sum("numerator"), F.lit(0.0)).alias("numerator"),
+        F.sum("denominator").alias("denominator"),
+        F.max("__den").alias("__den"),
     )
+    return summed.filter("__den").drop("__den")
 
 
 def population_totals(population: DataFrame) -> DataFrame:
@@ -167,6 +168,6 @@ def filter_age_range(df: DataFrame, age_metadata: DataFrame) -> DataFrame:
     ranges = age_metadata.groupBy("indicator_id").agg(
         F.min("min_age_code").alias("__low"), F.max("max_age_code").alias("__high")
     )
-    joined = df.join(ranges, "indicator_id", "left")
+    joined = spread_join(df, ranges, ["indicator_id"], probe=age_metadata)
     inside = F.col("age_group_code").between(F.col("__low"), F.col("__high"))
     return joined.filter(F.coalesce(inside, F.lit(True))).select(df.columns)

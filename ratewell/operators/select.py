@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.functions import casts, codes, dates, names
+from ratewell.operators.joins import bounded
 from ratewell.schema import (
     CODES,
     FLOAT_COLS,
@@ -187,7 +188,7 @@ def filter_areas(df: DataFrame, area_codes: DataFrame, column: str = "Area Code"
     if found is None:
         return df
     listed = area_codes.select(F.col(area_codes.columns[0]).alias(found)).distinct()
-    return df.join(listed, found, "left_semi")
+    return df.join(bounded(listed), found, "left_semi")
 
 
 def top_n(df: DataFrame, n: int, *order: str | Column) -> DataFrame:

@@ -16,8 +16,6 @@ from ratewell.operators.rollup import (
     LOCALITY,
     PCN,
     WARD,
-    combine_num_den,
-    person_counts,
     rollup_registered,
     rollup_resident,
     split_sets,
@@ -245,12 +243,21 @@ AUDIT_KEYS = ["financial_year", "imd_quintile", "age", "sex", "ethnicity", "prac
 
 
 def audit_counts(
-    audit: DataFrame, demographic: DataFrame, condition: Column, name: str
+    audit: DataFrame, demographic: DataFrame, eligible: Column, met: Column
 ) -> DataFrame:
-    """Distinct patients meeting ``condition`` per audit group, with the local ethnicity."""
-    people = audit.filter(condition).select(*AUDIT_KEYS, "person_id").distinct()
+    """Distinct eligible patients per audit group, and those of them who meet a condition.
+
+    One pass for both counts.  The local ethnicity replaces the source's before patients are
+    counted, so a patient with two source codes counts once.
+    """
+    reached = F.max(F.coalesce(met, F.lit(False))).alias("__met")
+    people = audit.filter(eligible).groupBy(*AUDIT_KEYS, "person_id").agg(reached)
     known = lookup.update_from(people, demographic, ["person_id"], "ethnicity", "ethnic_code")
-    return person_counts(known, AUDIT_KEYS, "person_id", name)
+    patients = known.groupBy(*AUDIT_KEYS, "person_id").agg(F.max("__met").alias("__met"))
+    return patients.groupBy(*AUDIT_KEYS).agg(
+        F.count_if("__met").cast("double").alias("numerator"),
+        F.count(F.lit(1)).cast("double").alias("denominator"),
+    )
 
 
 def derived_denominator(
@@ -267,10 +274,8 @@ def derived_denominator(
     geography: Geography = GEOGRAPHY,
 ) -> DataFrame:
     """Facts of patient-level rows: ``met`` among ``eligible`` patients."""
-    denominators = audit_counts(audit, demographic, eligible, "denominator")
-    numerators = audit_counts(audit, demographic, eligible & met, "numerator")
-    combined = combine_num_den(numerators, denominators, AUDIT_KEYS)
-    coded = lookup.map_codes(combined, ethnicities, "ethnicity", "nhs_code", "ethnicity_code")
+    counted = audit_counts(audit, demographic, eligible, met)
+    coded = lookup.map_codes(counted, ethnicities, "ethnicity", "nhs_code", "ethnicity_code")
     coded = lookup.map_codes(coded, imd, "imd_quintile", "imd_quintile", "imd_code")
     coded = select.default_unknown(coded, ["ethnicity", "imd_quintile"])
     start, end = dates.fy_bounds(dates.fy_standardise(F.col("financial_year")))

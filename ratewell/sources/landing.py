@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewell.functions import casts, names
+from ratewell.operators.joins import bounded
 from ratewell.operators.select import filter_areas
 from ratewell.operators.sets import union_by_name
 from ratewell.schema import FACT_COLS, FACT_SCHEMA
@@ -83,9 +84,10 @@ def accept_templates(rows: DataFrame, manifest: DataFrame) -> tuple[DataFrame, D
     ``rows`` carry ``file_name`` and the landing columns as text; ``manifest`` holds one
     ``validation_value`` per file.  A file missing from the manifest has failed.
     """
-    checked = manifest.groupBy("file_name").agg(
+    verdicts = manifest.groupBy("file_name").agg(
         F.bool_and(accepted(F.col("validation_value"))).alias("__ok")
     )
+    checked = bounded(verdicts)
     good = checked.filter("__ok").select("file_name")
     typed = [casts.coerce(F.col(f.name), f.dataType).alias(f.name) for f in FACT_SCHEMA]
     status = (

@@ -233,8 +233,8 @@ def test_person_with_two_source_ethnicities_counts_once(spark):
         "person_id bigint, complete int",
     )
     known = spark.createDataFrame([(7, "C")], "person_id bigint, ethnic_code string")
-    counts = build.audit_counts(audit, known, F.col("complete") == 1, "numerator")
-    assert [(r.ethnicity, r.numerator) for r in counts.collect()] == [("C", 1.0)]
+    counts = build.audit_counts(audit, known, F.lit(True), F.col("complete") == 1)
+    assert [(r.ethnicity, r.numerator, r.denominator) for r in counts.collect()] == [("C", 1.0, 1.0)]
 
 
 def test_codes_are_the_published_ones():
