@@ -281,9 +281,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table of the folder; its footer is read once."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def local(self, rows: list[tuple], schema: str) -> DataFrame:
         return local_table(self.spark, rows, schema)
@@ -426,7 +430,8 @@ class Tables:
         customers = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         # One customer may hold much of the orders.
-        return pick(spread_join(orders, customers, ["o_custkey"], "inner"), PLACE_EXPRS)
+        placed = spread_join(orders, customers, ["o_custkey"], "inner", probe=customers)
+        return pick(placed, PLACE_EXPRS)
 
     def diagnoses(self) -> DataFrame:
         return pick(self.raw("lineitem"), DIAGNOSIS_EXPRS)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CONSTANT_ROWS = 5_000
 SMALL_ROWS = 100_000
 SALTS = 32
 HOT_SHARE = 0.005
@@ -30,7 +31,7 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructTy
     return spark.createDataFrame(table, layout)
 
 
-def bounded(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def bounded(df: DataFrame, max_rows: int = CONSTANT_ROWS) -> DataFrame:
     """``df`` as a constant table when it has at most ``max_rows``, else unchanged.
 
     Spark then broadcasts it by its own size rule.  At most ``max_rows + 1`` rows reach the driver.
@@ -87,13 +88,17 @@ def spread_join(
 ) -> DataFrame:
     """``lookup_join`` for a lookup that may be large and facts that may crowd on a few keys.
 
-    Up to ``small_rows`` rows in ``probe`` (the table the lookup was made from, by default the
-    lookup itself) the lookup becomes a constant table.  Beyond that the hot keys of ``df`` are
+    Up to ``small_rows`` rows in ``probe`` (the table the lookup was made from) the plain join is
+    used: Spark sees the size of the table and broadcasts.  Without a probe a lookup of few rows
+    becomes a constant table.  Beyond that the hot keys of ``df`` are
     spread over ``salts`` shuffle keys and only their lookup rows are repeated, so every other key
     is joined once.  The salt depends on the row content alone: a recomputed task gives it again.
     """
-    if probe is None or is_small(probe, small_rows):
-        constant = bounded(lookup, small_rows)
+    if probe is not None:
+        if is_small(probe, small_rows):
+            return df.join(lookup, on, how)
+    else:
+        constant = bounded(lookup, min(small_rows, CONSTANT_ROWS))
         if constant is not lookup:
             return df.join(constant, on, how)
     # At most 1 / HOT_SHARE rows.
