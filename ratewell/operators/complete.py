@@ -42,12 +42,11 @@ def typical_cycles(
         }
     )
     closing = group_mode(periods, keys, "mmdd", "n").withColumnRenamed("mode", "end_mmdd")
-    length = group_median(periods, keys, "days", "n").withColumnRenamed("median", "typical_days")
-    length = length.withColumnsRenamed({k: f"__{k}" for k in keys})
-    matches = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    length = periods.groupBy(*keys).agg(F.percentile("days", 0.5, F.col("n")).alias("typical_days"))
+    both = closing.unionByName(length, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(
+        F.max("end_mmdd").alias("end_mmdd"), F.max("typical_days").alias("typical_days")
     )
-    return closing.join(length, matches, "left").drop(*[f"__{k}" for k in keys])
 
 
 def exclude_incomplete(

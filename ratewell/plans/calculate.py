@@ -41,7 +41,7 @@ class Result:
 
 def prepare(df: DataFrame) -> DataFrame:
     """Types, period label and split combination of staged rows."""
-    return select.clean_types(select.with_combination_id(select.with_duration_label(df)))
+    return select.with_combination_id(select.with_duration_label(select.clean_types(df)))
 
 
 def needs_calculation() -> Column:

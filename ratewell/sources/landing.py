@@ -13,6 +13,7 @@ from ratewell.operators.sets import union_by_name
 from ratewell.schema import FACT_COLS, FACT_SCHEMA
 
 MAX_HEADERS = 1_000
+MAX_FILES = 100_000
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -51,25 +52,37 @@ def csv_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.groupBy("file_path").agg(first.alias("header"))
 
 
-def read_by_header(spark: SparkSession, headers: DataFrame) -> DataFrame | None:
+def read_by_header(
+    spark: SparkSession, headers: DataFrame, max_files: int = MAX_FILES
+) -> DataFrame | None:
     """All-text rows of the files, read once per distinct header and matched by column name.
 
-    Adds the ``file_name`` of each row.
+    Adds the ``file_name`` of each row.  Up to ``max_files`` paths are listed on the driver; with
+    more files each header reads the folders of all of them and keeps the rows of its own files.
     """
-    groups = (
-        headers.groupBy("header").agg(F.collect_list(plain_path()).alias("files"))
-        .limit(MAX_HEADERS + 1).collect()
-    )
-    if len(groups) > MAX_HEADERS:
+    kinds = [r[0] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(kinds) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} different headers")
-    if not groups:
-        return None
-    parts = [
-        spark.read.csv(sorted(g["files"]), header=True, inferSchema=False).select(
+    listed = headers.select("header", plain_path().alias("path")).limit(max_files + 1).collect()
+    folders = None
+    if len(listed) > max_files:
+        found = headers.select(F.regexp_replace(plain_path(), "/[^/]*$", "").alias("folder"))
+        folders = sorted(r[0] for r in found.distinct().collect())
+    parts = []
+    for header in sorted(kinds):
+        paths = folders or [r["path"] for r in listed if r["header"] == header]
+        # The column names come from one file of this header, whatever the others hold.
+        sample = headers.filter(F.col("header") == header).select(plain_path()).first()[0]
+        layout = spark.read.csv(sample, header=True, inferSchema=False).schema
+        rows = spark.read.schema(layout).csv(paths, header=True).select(
             "*", F.col("_metadata.file_path").alias("file_path")
         )
-        for g in sorted(groups, key=lambda g: g["header"])
-    ]
+        if folders:
+            own = headers.filter(F.col("header") == header).select("file_path")
+            rows = rows.join(bounded(own), "file_path", "left_semi")
+        parts.append(rows)
+    if not parts:
+        return None
     return union_by_name(*parts).withColumn("file_name", file_name()).drop("file_path")
 
 

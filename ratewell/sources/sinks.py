@@ -69,12 +69,11 @@ def replace_indicators(df: DataFrame, table: str, ids: IndicatorIds = None) -> N
 
 
 def replace_submitted(df: DataFrame, table: str) -> None:
-    """Replace the indicators that occur in ``df``."""
-    ids = df.select("indicator_id").filter(F.col("indicator_id").isNotNull()).distinct().collect()
-    if ids:
-        replace_indicators(df, table, [r[0] for r in ids])
-    else:
-        _by_indicator(df.select(df.sparkSession.table(table).columns)).write.insertInto(table)
+    """Replace the indicators that occur in ``df``; rows without an indicator are added."""
+    new = df.select(df.sparkSession.table(table).columns)
+    known = F.col("indicator_id").isNotNull()
+    _overwrite(new.filter(known), table, "dynamic")
+    _by_indicator(new.filter(~known)).write.insertInto(table)
 
 
 def write_csv_extract(df: DataFrame, folder: str, run_date: date, prefix: str = "extract") -> str:

@@ -64,6 +64,17 @@ def test_api_extracts_are_matched_by_name(spark, tmp_path):
     assert landing.land_api_csv(spark, str(tmp_path), listed).count() == 1
 
 
+def test_files_beyond_the_listing_limit_are_read_all_the_same(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Area Code,Value\nE1,1\nE2,2\n")
+    (tmp_path / "b b.csv").write_text("Value,Area Code\n3,E1\n")
+    (tmp_path / "c.csv").write_text("Area Code,Value\nE3,4\n")
+    headers = landing.csv_headers(spark, str(tmp_path))
+    for limit in (1, 100):
+        rows = landing.read_by_header(spark, headers, max_files=limit)
+        found = sorted((r["Area Code"], r["Value"], r["file_name"]) for r in rows.collect())
+        assert found == [("E1", "1", "a.csv"), ("E1", "3", "b b.csv"), ("E2", "2", "a.csv"), ("E3", "4", "c.csv")]
+
+
 def test_api_without_data(spark, tmp_path):
     (tmp_path / "c.csv").write_text("No data\n")
     assert landing.land_api_csv(spark, str(tmp_path)) is None
@@ -80,7 +91,8 @@ def results(spark, rows):
 
 
 def content(spark, table):
-    return sorted(tuple(r) for r in spark.table(table).select("indicator_id", "v").collect())
+    rows = [tuple(r) for r in spark.table(table).select("indicator_id", "v").collect()]
+    return sorted(rows, key=lambda r: (r[0] is None, r))
 
 
 @pytest.fixture
@@ -106,8 +118,10 @@ def test_replace_with_nothing(spark, published):
 
 
 def test_replace_what_was_submitted(spark, published):
-    sinks.replace_submitted(results(spark, [(2, "x"), (2, "y")]), published)
-    assert content(spark, published) == [(1, "a"), (1, "b"), (2, "x"), (2, "y"), (3, "d")]
+    sinks.replace_submitted(results(spark, [(2, "x"), (2, "y"), (None, "z")]), published)
+    assert content(spark, published) == [
+        (1, "a"), (1, "b"), (2, "x"), (2, "y"), (3, "d"), (None, "z"),
+    ]
 
 
 def test_append_and_selection_prune_partitions(spark, tmp_path):
