@@ -17,7 +17,7 @@ from ratewell.catalog.tables import (
     projection,
 )
 from ratewell.functions import codes, dates
-from ratewell.operators import ranking, select, sets
+from ratewell.operators import lookup, ranking, select, sets
 from ratewell.schema import FACT_COLS, GEOGRAPHY
 from ratewell.session import shared_dir
 from ratewell.sources import landing, sinks
@@ -308,9 +308,7 @@ def census_indicators(t):
     "register practices",
 )
 def filtered_practices(t):
-    from ratewell.operators.lookup import with_practice
-
-    return select.filter_practices(with_practice(t.register(), t.practices()), SYSTEM)
+    return select.filter_practices(lookup.with_practice(t.register(), t.practices()), SYSTEM)
 
 
 @query(
@@ -424,10 +422,8 @@ def areas_per_parent(t):
     area_rows=_AREA_SQL,
 )
 def areas_with_practices(t):
-    from ratewell.operators.lookup import join_on
-
     counted = _area_rows(t).groupBy(F.col("Area Code").alias("area")).agg(F.sum("n").alias("n"))
-    return join_on(counted, t.practices().select("practice_code", "locality"), "area", "practice_code")
+    return lookup.join_on(counted, t.practices().select("practice_code", "locality"), "area", "practice_code")
 
 
 @query(

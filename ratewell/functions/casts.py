@@ -22,10 +22,6 @@ def to_date(c: Column) -> Column:
     return c.try_cast("date")
 
 
-def to_timestamp(c: Column) -> Column:
-    return c.try_cast("timestamp")
-
-
 def coerce(c: Column, target: T.DataType) -> Column:
     """Lenient cast to one of the types of the fact layouts."""
     if isinstance(target, T.IntegerType):

@@ -30,11 +30,6 @@ def fy_standardise(c: Column) -> Column:
     return F.concat(F.substring(c, 1, 4), F.lit("-"), F.substring(c, 5, 2))
 
 
-def fy_start_year(day: Column) -> Column:
-    """Calendar year in which the financial year of ``day`` starts (1 April)."""
-    return F.year(F.add_months(day, -3))
-
-
 def serial_to_date(c: Column) -> Column:
     """Spreadsheet serial number or ISO text to ``yyyy-MM-dd`` text; NULL when neither."""
     text = c.cast("string")

@@ -208,7 +208,7 @@ def _of_kind(df: DataFrame, keys: list[str], kind: str, labels: list[tuple[str,
     lows, highs = [low for low, _ in labels], [high for _, high in labels]
     bounds = [name for pair in labels for name in pair]
     columns = {
-        "value": [],
+        "value": ["value"],
         "lower": lows,
         "upper": highs,
         "standard": ["total_count", "total_pop", "value", *bounds],

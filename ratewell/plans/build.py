@@ -230,7 +230,10 @@ def census_denominator(
     keys = ["start_date", "end_date", "age_group_code", "imd_code", "ethnicity_code"]
     rolled = rollup_resident(rows, keys, outside=outside, geography=geography)
     ids = area_ids(geography_table, RESIDENT_TYPES)
-    with_ids = rolled.join(ids, ["level", "area"], "left")
+    whole = F.when(F.col("level") == ICB, geography.icb_aggregation_id)
+    with_ids = rolled.join(ids, ["level", "area"], "left").withColumn(
+        "aggregation_id", F.coalesce(whole, "aggregation_id")
+    )
     split = split_sets(
         with_ids, ["start_date", "end_date", "age_group_code", "aggregation_id"],
         measures=("numerator",),

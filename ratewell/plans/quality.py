@@ -147,7 +147,3 @@ def run_all_checks(
         )
     ]
     return union_by_name(scanned, *grouped).withColumn("passed", F.col("failures") == 0)
-
-
-def first_failures(failures: DataFrame, show_n: int = 10) -> DataFrame:
-    return failures.limit(show_n)

@@ -105,6 +105,12 @@ def test_practice_filter_ignores_case(spark):
     assert [r[0] for r in select.filter_practices(df, "Home").collect()] == ["P1"]
 
 
+def test_preview_and_top_rows(spark):
+    df = spark.range(20).toDF("a")
+    assert select.preview(df, 3).count() == 3
+    assert [r.a for r in select.top_n(df, 2, F.desc("a")).collect()] == [19, 18]
+
+
 def test_area_filter_without_an_area_column_keeps_all(spark):
     df = spark.createDataFrame([("a",)], "x string")
     listed = spark.createDataFrame([("b",)], "c string")
@@ -362,7 +368,9 @@ def test_kinds_and_two_levels(spark):
     df = bands(spark, [(3, 100, 5000), (5, 200, 6000)])
     both = standardise.dsr(df, ["k"], "x", "n", "w", 1, confidence=(0.95, 0.998))
     assert "lower95_0cl" in both.columns and "upper99_8cl" in both.columns
-    assert standardise.dsr(df, ["k"], "x", "n", "w", 1, kind="value").columns == ["k", "base_value", "multiplier"]
+    assert standardise.dsr(df, ["k"], "x", "n", "w", 1, kind="value").columns == [
+        "k", "base_value", "multiplier", "value",
+    ]
     assert standardise.dsr(df, ["k"], "x", "n", "w", 1, kind="lower").columns[-1] == "lowercl"
     with pytest.raises(ValueError):
         standardise.dsr(df, ["k"], "x", "n", "w", 1, kind="other")
