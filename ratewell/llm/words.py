@@ -100,7 +100,9 @@ def spaced_pieces(column: pa.Array | pa.ChunkedArray) -> Words:
         return Words(np.empty(0, np.uint64), np.zeros(len(bounds), np.int64), raw, none, none)
     begins = np.zeros(n, bool)
     begins[:-1] = ((raw[:-1] == 0x20) | (raw[:-1] == 0x0A)) & _VISIBLE[raw[1:]]
-    begins[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    filled = bounds[:-1] < bounds[1:]
+    begins[bounds[1:][filled] - 1] = False  # what follows is another text
+    begins[bounds[:-1][filled]] = True
     start = np.flatnonzero(begins)
     end = np.append(start[1:], n)
     return Words(span_hashes(raw, start, end), np.searchsorted(start, bounds), raw, start, end)
