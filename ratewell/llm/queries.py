@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.llm.common import table
+from ratewell.llm.jaccard import jaccard_components
 from ratewell.llm.packing import pack_pieces, token_pieces
 from ratewell.llm.sharding import shard_by_bytes
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
@@ -21,6 +22,10 @@ def op5_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_vertical_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op9_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents"), WORD_BPE, capacity=4096, end_id=1)
     packed = pack_pieces(pieces.drop("ids"), capacity=4096)
@@ -34,6 +39,6 @@ def op10_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_prefix_sum_shards, op9_large_item_packing, op10_seekable_token_files)
+    f.__name__: f for f in (op5_prefix_sum_shards, op7_vertical_jaccard_join, op9_large_item_packing, op10_seekable_token_files)
 }
 ORACLE_SQL: dict[str, str] = {}
