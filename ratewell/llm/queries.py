@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import table
+from ratewell.llm import sql
+from ratewell.llm.backoff import score_texts
+from ratewell.llm.common import crc_of_id, table
 from ratewell.llm.jaccard import jaccard_components
 from ratewell.llm.packing import pack_pieces, token_pieces
+from ratewell.llm.quality import score_quality
 from ratewell.llm.sharding import shard_by_bytes
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
 
@@ -22,10 +25,23 @@ def op5_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op6_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), order=2, fold=10)
+
+
 def op7_vertical_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op8_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), label="quality", most=2000)
+    return scored.select(
+        "doc_id", (crc_of_id(F.col("doc_id")) % 4 == 2).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op9_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents"), WORD_BPE, capacity=4096, end_id=1)
     packed = pack_pieces(pieces.drop("ids"), capacity=4096)
@@ -39,6 +55,10 @@ def op10_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_prefix_sum_shards, op7_vertical_jaccard_join, op9_large_item_packing, op10_seekable_token_files)
-}
-ORACLE_SQL: dict[str, str] = {}
+    f.__name__: f
+    for f in (
+        op5_prefix_sum_shards, op6_backoff_automaton, op7_vertical_jaccard_join, op8_subword_classifier,
+        op9_large_item_packing, op10_seekable_token_files,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op7_vertical_jaccard_join": sql.OP7}
