@@ -120,7 +120,7 @@ def write_token_files(
     doc_ids; the index (doc_id, part, nth, file, at, n_tokens) says where.  Files are named anew by
     each attempt and the index, itself a written table, lists those of the attempts that ended, so a
     lost executor or a repeated task leaves a file nobody reads.  Rows with one doc_id stay in order
-    of their text; a null doc_id comes first, a null text is empty, an empty table gives no file.
+    of a hash of their text; a null doc_id comes first, a null text is empty, an empty table gives no file.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "tokens")
@@ -150,7 +150,8 @@ def write_token_files(
 
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranged = whole.repartitionByRange(parts_for(spark, size, part_bytes), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    line = ["doc_id", F.xxhash64("text")]  # the sample that ranges are drawn from holds no texts
+    ranged = whole.repartitionByRange(parts_for(spark, size, part_bytes), *line).sortWithinPartitions(*line)
     index = ranged.mapInArrow(write, "doc_id long, nth long, file string, at long, n_tokens long")
     return stage(index.select("doc_id", F.spark_partition_id().alias("part"), "nth", "file", "at", "n_tokens").withColumn("folder", F.lit(folder)))
 
