@@ -116,7 +116,7 @@ def walk(grams: Grams, counts: list[np.ndarray], total: int, words: int, strengt
     return score
 
 
-def score_texts(docs: DataFrame, order: int = 2, strength: float = 20.0, fold: int = 10, block_bytes: int = 12 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = 2, strength: float = 100.0, fold: int = 10, block_bytes: int = 12 << 20) -> DataFrame:
     """Train on the rows whose crc32 of doc_id, as text, mod ``fold`` is not 0 and score all rows.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.  Tokens are words

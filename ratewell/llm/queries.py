@@ -11,16 +11,37 @@ from pyspark.sql import functions as F
 from ratewell.llm import sql
 from ratewell.llm.backoff import score_texts
 from ratewell.llm.common import crc_of_id, table
+from ratewell.llm.html_text import extract_text
 from ratewell.llm.jaccard import jaccard_components
 from ratewell.llm.packing import pack_pieces, token_pieces
 from ratewell.llm.quality import score_quality
+from ratewell.llm.secret_scan import scan_secrets, written
 from ratewell.llm.sharding import shard_by_bytes
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
+from ratewell.llm.topk import search
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
+
+
+def op3_owner_frequency_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"), owner="source", repository="doc_id")
+    counted = lambda flag: F.size(F.filter("spans", lambda s: s[flag])).cast("long").alias(f"n_{flag}")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_assign", "n_access", "n_hex",
+        F.sha2(written(F.col("base_spans")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"),
+        counted("live"), counted("copied"),
+    )
+
+
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=24)
 
@@ -57,8 +78,8 @@ def op10_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op5_prefix_sum_shards, op6_backoff_automaton, op7_vertical_jaccard_join, op8_subword_classifier,
-        op9_large_item_packing, op10_seekable_token_files,
+        op2_no_random_access_topk, op3_owner_frequency_secrets, op4_html_main_text, op5_prefix_sum_shards, op6_backoff_automaton,
+        op7_vertical_jaccard_join, op8_subword_classifier, op9_large_item_packing, op10_seekable_token_files,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op7_vertical_jaccard_join": sql.OP7}
+ORACLE_SQL: dict[str, str] = {"op2_no_random_access_topk": sql.OP2, "op3_owner_frequency_secrets": sql.OP3, "op7_vertical_jaccard_join": sql.OP7}

@@ -47,3 +47,45 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+ASSIGN = """(?i)(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+PLACEHOLDER = "(?i)example|sample|dummy|placeholder|changeme|redacted|your|xxxx|" + "|".join(
+    f"{c}{{8,}}" for c in [*string.digits, *string.ascii_letters, r"\+", "/", "_", r"\.", "=", "-"]
+) + "|0123456|abcdef0"
+
+
+def _matches(place: int, kind: str, pattern: str, group: int, keep: str) -> str:
+    return f"""
+m{place} AS (
+  SELECT row_id, source, doc_id, {place} AS place, '{kind}' AS kind, unnest(list_transform(range(1, len(f) + 1), lambda i: {{
+    'start': CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS BIGINT),
+    'size': length(f[i]), 'value': v[i]}})) AS m
+  FROM (SELECT row_id, source, doc_id, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}', 0) AS f,
+    regexp_extract_all(t, '{pattern}', {group}) AS v FROM t)),
+k{place} AS (
+  SELECT row_id, source, doc_id, place, kind, m.start AS start, m.start + m.size AS stop, m.value AS value
+  FROM m{place} WHERE {keep.replace("value", "m.value")})"""
+
+
+OP3 = f"""WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS t FROM documents),
+{_matches(0, "assign", ASSIGN, 2, "length(value) >= 6")},
+{_matches(1, "access", "AKIA[A-Z0-9]+", 0, "length(value) >= 20")},
+{_matches(2, "hex", "[0-9a-f]{24,}", 0, "true")},
+{_matches(3, "generic", "[A-Za-z0-9+/_-]{32,}", 0,
+          "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')")},
+s AS (SELECT * FROM k0 UNION ALL SELECT * FROM k1 UNION ALL SELECT * FROM k2 UNION ALL SELECT * FROM k3),
+o AS (SELECT value, count(DISTINCT coalesce('s' || source, '')) AS owners FROM s GROUP BY value),
+l AS (
+  SELECT s.*, owners >= 3 AS copied, owners = 1 AND len(list_distinct(string_split(value, ''))) >= 10
+    AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND NOT regexp_matches(value, '{PLACEHOLDER}') AS live
+  FROM s JOIN o USING (value)),
+g AS (
+  SELECT row_id, count(*) FILTER (place = 0) AS a, count(*) FILTER (place = 1) AS b, count(*) FILTER (place = 2) AS c,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS every,
+    count(*) FILTER (live) AS live, count(*) FILTER (copied) AS copied
+  FROM l WHERE place < 3 OR live GROUP BY row_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans, coalesce(live, 0) AS n_live, coalesce(copied, 0) AS n_copied
+FROM t LEFT JOIN g USING (row_id)"""
