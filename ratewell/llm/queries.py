@@ -17,6 +17,7 @@ from ratewell.llm.packing import pack_pieces, token_pieces
 from ratewell.llm.quality import score_quality
 from ratewell.llm.secret_scan import scan_secrets, written
 from ratewell.llm.sharding import shard_by_bytes
+from ratewell.llm.tiling import find_leaks
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
 from ratewell.llm.topk import search
 
@@ -24,6 +25,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=5, share=0.5)
+    return found.select("doc_id", "item_id", "n_words", "n_covered", F.size("tiles").alias("n_tiles"))
+
+
 def op2_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
 
@@ -78,7 +84,7 @@ def op10_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_no_random_access_topk, op3_owner_frequency_secrets, op4_html_main_text, op5_prefix_sum_shards, op6_backoff_automaton,
+        op1_greedy_string_tiling, op2_no_random_access_topk, op3_owner_frequency_secrets, op4_html_main_text, op5_prefix_sum_shards, op6_backoff_automaton,
         op7_vertical_jaccard_join, op8_subword_classifier, op9_large_item_packing, op10_seekable_token_files,
     )
 }

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import new_folder
+from ratewell.llm.common import fresh_name, new_folder
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     until = F.sum(F.col("m.gap") + F.col("m.size")).over(before)
     spans = matches.select(
         "row_id", "owner", "repository", "place", (until - F.col("m.size")).alias("start"), until.alias("end"),
-        F.col("m.size").alias("size"), F.col("m.value").alias("value"),
+        (until - F.length("m.value")).alias("hidden"), F.col("m.value").alias("value"),
     )
     right = F.lit(False)
     for place, kind in enumerate(KINDS):
@@ -98,7 +98,7 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     base = F.col("place").isin([p for p, k in enumerate(KINDS) if k.base])
     spans = spans.where(base | F.col("live")).withColumn("copied", F.col("owners") >= copied)
     named = F.element_at(F.array(*[F.lit(k.name) for k in KINDS]), F.col("place") + 1)
-    span = F.struct("start", "place", "end", named.alias("kind"), "live", "copied", "owners", "repositories")
+    span = F.struct("start", "place", "end", named.alias("kind"), "hidden", "live", "copied", "owners", "repositories")
     counts = [F.sum((F.col("place") == p).cast("long")).alias(f"n_{k.name}") for p, k in enumerate(KINDS) if k.base]
     by_row = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(span)).alias("spans"), *counts)
     none = F.array().cast(by_row.schema["spans"].dataType)
@@ -110,6 +110,33 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     )
 
 
+def mask_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = 3, mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with the value of every secret span replaced by ``mask``, unless the value is copied.
+
+    Rows, columns and their order stay.  The value of an assignment is masked without the name.  Texts
+    without secrets are not touched.  See ``scan_secrets`` for nulls, repeats and empty tables.
+    """
+    body, name = fresh_name(docs, "body"), docs.columns
+    found = scan_secrets(docs.withColumn(body, F.col("text")), owner, repository, copied)
+    text = F.col(f"row.{body}")
+    own = F.filter("spans", lambda s: ~s.copied)
+    # Overlapping spans are one: a span begins where the last ended, if that is later.
+    ends = lambda upto: F.coalesce(F.array_max(F.transform(upto, lambda s: s.end)), F.lit(0).cast("long"))
+    index = F.sequence(F.lit(1), F.size(own))
+    before = lambda i: ends(F.slice(own, 1, i - 1))
+    cut = lambda low, high: F.when(high > low, text.substr((low + 1).cast("int"), (high - low).cast("int"))).otherwise("")
+    parts = F.transform(
+        index,
+        lambda i: F.concat(
+            cut(before(i), F.element_at(own, i).hidden),
+            F.when(F.element_at(own, i).end > before(i), F.lit(mask)).otherwise(""),
+        ),
+    )
+    rest = cut(ends(own), F.length(text).cast("long"))
+    masked = F.when(F.size(own) > 0, F.concat(F.concat_ws("", parts), rest)).otherwise(text)
+    return found.select(*[masked.alias("text") if c == "text" else F.col(f"row.{c}").alias(c) for c in name])
+
+
 def written(spans: Column) -> Column:
     """Spans as kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")

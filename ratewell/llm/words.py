@@ -21,6 +21,8 @@ _SHIFT = np.uint64(31)
 _PLACES = _RNG.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARKS = _SPACE.copy()  # white space, ASCII punctuation and control characters
+_MARKS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 _VISIBLE = np.arange(256) > 0x20
 _VISIBLE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -108,15 +110,15 @@ def spaced_pieces(column: pa.Array | pa.ChunkedArray) -> Words:
     return Words(span_hashes(raw, start, end), np.searchsorted(start, bounds), raw, start, end)
 
 
-def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = True) -> Words:
-    """The hashed words of every text of a column."""
+def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = True, marks: bool = True) -> Words:
+    """The hashed words of every text of a column; without ``marks``, punctuation parts words too."""
     raw, bounds = text_bytes(column)
     n = len(raw)
     if not n:
         none = np.empty(0, np.int64)
         return Words(np.empty(0, np.uint64), np.zeros(len(bounds), np.int64), raw, none, none)
     data = _LOWER[raw] if lower else raw
-    word = ~_SPACE[data]
+    word = ~(_SPACE if marks else _MARKS)[data]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     cuts = bounds[1:-1]
