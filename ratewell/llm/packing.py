@@ -136,6 +136,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     as often as they occur; a null doc_id ranks first; an empty table gives no rows.
     """
     spark = pieces.sparkSession
+    pieces = stage(pieces)  # ranges are drawn from a first reading, which must not encode again
     line = ["length", "doc_id", "piece", "ids_crc32"]
     ranged = stage(pieces.repartitionByRange(*line).withColumn("part", F.spark_partition_id()))
     found = ranged.groupBy("length", "part").count().orderBy("length", "part").collect()
