@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
 from uuid import uuid4
 
 import pyarrow as pa
@@ -51,3 +55,11 @@ def parts_for(spark: SparkSession, size: int, per_part: int) -> int:
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def kept_by_worker(name: tuple, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: the object under ``name``, made if it isn't there."""
+    home = sys.modules.setdefault("ratewell_kept", ModuleType("ratewell_kept")).__dict__
+    if name not in home:
+        home[name] = make()
+    return home[name]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.llm.common import batch_of
-from ratewell.llm.tokens import Encoder
+from ratewell.llm.tokens import encoder
 from ratewell.llm.words import in_slices
 from ratewell.staging import stage
 
@@ -114,10 +114,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
     end, width = struct.pack("<I", end_id), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, "words")
+        coder = encoder(tokenizer_path, "words")
         for batch in in_slices(batches, "text", 4 << 20):
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text"))):
                 ids = ids.tobytes() + end
                 for k, at in enumerate(range(0, len(ids), width)):
                     some = ids[at : at + width]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.llm.common import batch_of, files_at, new_folder, parts_for
-from ratewell.llm.tokens import Encoder
+from ratewell.llm.tokens import encoder
 from ratewell.llm.words import in_slices
 from ratewell.staging import stage
 
@@ -128,7 +128,7 @@ def write_token_files(
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, rows, at = Encoder(tokenizer_path, "spaced"), [], 0
+        coder, rows, at = encoder(tokenizer_path, "spaced"), [], 0
         place, path = files_at(folder)
         name = f"{uuid4().hex}.zst"
         writer = None
@@ -137,7 +137,7 @@ def write_token_files(
                 place.create_dir(path, recursive=True)
                 sink = place.open_output_stream(f"{path}/{name}", compression=None)
                 writer = FrameWriter(sink, frame_bytes, level)
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text"))):
                 writer.add(ids.tobytes() + end)
                 count = len(ids) + 1
                 rows.append((doc, len(rows), name, at, count))

@@ -13,13 +13,19 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from ratewell.llm.common import kept_by_worker
 from ratewell.llm.words import Words, spaced_pieces, words_of
 
 
+def encoder(path: str, cut: str) -> Encoder:
+    """The encoder of this worker, with the pieces it knows from earlier tasks."""
+    return kept_by_worker(("encoder", path, cut), lambda: Encoder(path, cut))
+
+
 class Encoder:
     """Ids of texts as unsigned 32-bit numbers; keeps the ids of at most ``keep`` pieces and a batch."""
 
-    def __init__(self, path: str, cut: str, keep: int = 1_000_000):
+    def __init__(self, path: str, cut: str, keep: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
