@@ -280,6 +280,97 @@ def varying_populations(t):
     return standardise.constancy_violations(_nation_bands(t), ["band"], ["n"])
 
 
+# `nation` groups of which some hold each fault of a standardised rate.
+_FAULTY_SQL = (
+    "SELECT nation, band, CASE WHEN nation = 3 AND band = 4 THEN -1.0 ELSE x END AS x, "
+    "CASE WHEN nation = 5 AND band = 6 THEN NULL WHEN nation = 7 AND band = 8 THEN 0.0 ELSE n END AS n, "
+    f"CASE WHEN nation = 9 AND band = 1 THEN NULL ELSE {sql.weight('band')} END AS w, "
+    "CASE WHEN nation = 11 AND band > 9 THEN 1000.0 WHEN nation = 13 AND band = 2 THEN NULL ELSE 100000.0 END AS multiplier "
+    "FROM bands"
+)
+
+
+def _faulty(t: Tables) -> DataFrame:
+    return _nation_bands(t).selectExpr(
+        "nation", "band", "CASE WHEN nation = 3 AND band = 4 THEN -1D ELSE x END AS x",
+        "CASE WHEN nation = 5 AND band = 6 THEN NULL WHEN nation = 7 AND band = 8 THEN 0D ELSE n END AS n",
+        "CASE WHEN nation = 9 AND band = 1 THEN NULL ELSE w END AS w",
+        "CASE WHEN nation = 11 AND band > 9 THEN 1000D WHEN nation = 13 AND band = 2 THEN NULL ELSE 100000D END AS multiplier",
+    )
+
+
+_FAULT_FLAGS = (
+    "concat_ws('; ', CASE WHEN bool_or(n IS NULL) THEN 'missing denominator' END, "
+    "CASE WHEN bool_or(w IS NULL) THEN 'missing standard population' END, "
+    "CASE WHEN bool_or(multiplier IS NULL) THEN 'missing multiplier' END, "
+    "CASE WHEN bool_or(coalesce(x < 0, FALSE)) THEN 'negative numerator' END, "
+    "CASE WHEN bool_or(coalesce(n <= 0, FALSE)) THEN 'denominator not positive' END, "
+    "CASE WHEN min(multiplier) <> max(multiplier) THEN 'several multipliers' END"
+)
+
+
+@query(
+    "nation:i value:n faults:t",
+    "SELECT nation, CASE WHEN faults = '' THEN base_value * multiplier END AS value, faults FROM totals",
+    bands=_NATION_BANDS,
+    faulty=_FAULTY_SQL,
+    totals=f"SELECT nation, {sql.TOTALS}, {_FAULT_FLAGS}) AS faults FROM faulty GROUP BY nation",
+)
+def standardised_rejects(t):
+    rates, rejects = standardise.dsr_checked(_faulty(t), ["nation"], "x", "n", "w", kind="value")
+    return rates.select("nation", "value", F.lit("").alias("faults")).unionByName(
+        rejects, allowMissingColumns=True
+    )
+
+
+_FAULTY_PEOPLE = {
+    "people": "SELECT c_nationkey AS nation, CAST(c_custkey % 18 + 1 AS INT) AS band, "
+    "CAST(c_custkey % 3 + 1 AS INT) AS freq, CAST(count(*) FILTER (WHERE c_acctbal < 2000) AS DOUBLE) AS x "
+    "FROM customer GROUP BY ALL",
+    "sized": "SELECT nation, CASE WHEN nation = 2 AND band = 3 THEN NULL ELSE band END AS band, "
+    "CASE WHEN nation = 4 AND band = 5 THEN NULL ELSE freq END AS freq, x, "
+    "CAST(1000 + 10 * band + CASE WHEN nation = 6 AND freq = 2 THEN 1 ELSE 0 END AS DOUBLE) AS n, "
+    f"CASE WHEN nation = 8 AND freq = 1 THEN 1.0 ELSE {sql.weight('band')} END AS w, "
+    "CASE WHEN nation = 10 AND band = 7 THEN 1000.0 ELSE 100000.0 END AS multiplier FROM people",
+}
+
+
+@query(
+    "nation:i value:n faults:t",
+    "SELECT nation, CASE WHEN faults = '' THEN base_value * multiplier END AS value, faults FROM totals",
+    **_FAULTY_PEOPLE,
+    events="SELECT nation, band, max(n) AS n, max(w) AS w, sum(freq * x) AS x, max(multiplier) AS multiplier, "
+    "min(multiplier) AS least, bool_or(freq IS NULL) AS no_freq, min(n) <> max(n) AS n_varies, min(w) <> max(w) AS w_varies "
+    "FROM sized GROUP BY nation, band",
+    totals="SELECT nation, sum(x * w / n) / sum(w) AS base_value, max(multiplier) AS multiplier, concat_ws('; ', "
+    "CASE WHEN min(least) <> max(multiplier) THEN 'several multipliers' END, "
+    "CASE WHEN bool_or(no_freq) THEN 'missing event frequency' END, CASE WHEN bool_or(band IS NULL) THEN 'missing age band' END, "
+    "CASE WHEN bool_or(n_varies) THEN 'several populations in an age band' END, "
+    "CASE WHEN bool_or(w_varies) THEN 'several standard populations in an age band' END) AS faults FROM events GROUP BY nation",
+)
+def standardised_dependent_rejects(t):
+    grouped = t.raw("customer").groupBy(
+        F.col("c_nationkey").alias("nation"),
+        F.expr("CAST(c_custkey % 18 + 1 AS INT)").alias("band"),
+        F.expr("CAST(c_custkey % 3 + 1 AS INT)").alias("freq"),
+    )
+    people = grouped.agg(F.count_if(F.col("c_acctbal") < 2000).cast("double").alias("x"))
+    weighted = people.withColumn("weight", lookup.standard_population(F.col("band")))
+    sized = weighted.selectExpr(
+        "nation", "CASE WHEN nation = 2 AND band = 3 THEN NULL ELSE band END AS band",
+        "CASE WHEN nation = 4 AND band = 5 THEN NULL ELSE freq END AS freq", "x",
+        "CAST(1000 + 10 * band + CASE WHEN nation = 6 AND freq = 2 THEN 1 ELSE 0 END AS DOUBLE) AS n",
+        "CASE WHEN nation = 8 AND freq = 1 THEN 1D ELSE weight END AS w",
+        "CASE WHEN nation = 10 AND band = 7 THEN 1000D ELSE 100000D END AS multiplier",
+    )
+    rates, rejects = standardise.dsr_checked(
+        sized, ["nation"], "x", "n", "w", event_freq="freq", age_band="band", kind="value"
+    )
+    return rates.select("nation", "value", F.lit("").alias("faults")).unionByName(
+        rejects, allowMissingColumns=True
+    )
+
+
 # the whole calculation ----------------------------------------------------------------------
 @query(
     "route:t indicator_id:i time_period_type:t row_count:i",

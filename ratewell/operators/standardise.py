@@ -121,11 +121,41 @@ def dsr(
     kind: str = "full",
     event_freq: str | None = None,
     age_band: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Directly standardised rate per group, with Dobson limits.
+    """Directly standardised rate per group, with Dobson limits; see ``dsr_checked``.
+
+    Groups with a fault have no rate; ``strict`` raises if there is one, which runs a job.
+    """
+    rates, rejects = dsr_checked(
+        df, keys, x, n, stdpop, multiplier, confidence, kind, event_freq, age_band
+    )
+    if strict:
+        found = rejects.select("faults").limit(1).collect()
+        if found:
+            raise ValueError(found[0]["faults"])
+    return rates
+
+
+def dsr_checked(
+    df: DataFrame,
+    keys: list[str],
+    x: str = "numerator",
+    n: str = "denominator",
+    stdpop: str = "stdpop",
+    multiplier: str | float = "multiplier",
+    confidence: float | tuple[float, float] = 0.95,
+    kind: str = "full",
+    event_freq: str | None = None,
+    age_band: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rates of the groups without a fault, and the other groups with their ``faults``.
 
     With ``event_freq`` and ``age_band`` the events of one person are not independent: the variance
-    is summed over event frequencies and events are persons times frequency.
+    is summed over event frequencies and events are persons times frequency.  A group is at fault
+    if it holds a row of ``dsr_faults``, several multipliers or, for dependent events, a row without
+    frequency or band or a band with several populations or weights.  Faults are found by the
+    aggregation that sums the group.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {', '.join(KINDS)}")
@@ -149,7 +179,9 @@ def dsr(
         totals = _dependent_events(rows, keys, event_freq, age_band)
         method = "Dobson, with confidence adjusted for non-independent events"
     else:
-        totals = rows.groupBy(*keys).agg(*_totals(), _variance().alias("vardsr"))
+        totals = rows.groupBy(*keys).agg(
+            *_totals(), _variance().alias("vardsr"), _fault_list(_row_faults()).alias("faults")
+        )
         method = "Dobson"
 
     events, base, scale = F.col("total_count"), F.col("base_value"), F.col("multiplier")
@@ -166,7 +198,23 @@ def dsr(
     per = F.when(scale == F.floor(scale), scale.cast("bigint").cast("string"))
     columns["statistic"] = F.concat(F.lit("dsr per "), F.coalesce(per, scale.cast("string")))
     columns["method"] = F.lit(method)
-    return _of_kind(totals.withColumns(columns), keys, kind, labels)
+    rates = totals.filter("faults = ''").withColumns(columns)
+    return _of_kind(rates, keys, kind, labels), totals.filter("faults <> ''").select(*keys, "faults")
+
+
+def _row_faults() -> dict[str, Column]:
+    """Whether the rows of a group hold each kind of fault, as aggregates."""
+    rows = dsr_faults(F.col("x"), F.col("n"), F.col("w"), F.col("multiplier"))
+    found = {name: F.bool_or(c) for name, c in rows.items()}
+    return {**found, "several multipliers": _varies("multiplier")}
+
+
+def _varies(column: str) -> Column:
+    return F.coalesce(F.min(column) != F.max(column), F.lit(False))
+
+
+def _fault_list(flags: dict[str, Column]) -> Column:
+    return F.concat_ws("; ", *[F.when(c, name) for name, c in flags.items()])
 
 
 def _totals() -> list[Column]:
@@ -194,10 +242,25 @@ def _dependent_events(rows: DataFrame, keys: list[str], freq: str, band: str) ->
     variance = by_freq.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
         F.sum(F.col("v") * F.pow(F.col(freq), 2.0)).alias("vardsr")
     )
-    events = rows.groupBy(*keys, band, "n", "w").agg(
-        total(F.col(freq) * F.col("x")).alias("x"), F.max("multiplier").alias("multiplier")
+    flags = {
+        **_row_faults(),
+        "missing event frequency": F.bool_or(F.col(freq).isNull()),
+        "missing age band": F.bool_or(F.col(band).isNull()),
+        "several populations in an age band": _varies("n"),
+        "several standard populations in an age band": _varies("w"),
+    }
+    events = rows.groupBy(*keys, band).agg(
+        total(F.col(freq) * F.col("x")).alias("x"),
+        F.max("n").alias("n"),
+        F.max("w").alias("w"),
+        F.max("multiplier").alias("multiplier"),
+        F.min("multiplier").alias("__least"),
+        *[c.alias(f"__{k}") for k, c in enumerate(flags.values())],
     )
-    totals = events.groupBy(*keys).agg(*_totals())
+    found = {name: F.bool_or(f"__{k}") for k, name in enumerate(flags)}
+    # The bands of a group may differ from each other.
+    found["several multipliers"] = F.coalesce(F.min("__least") != F.max("multiplier"), F.lit(False))
+    totals = events.groupBy(*keys).agg(*_totals(), _fault_list(found).alias("faults"))
     matches = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     )

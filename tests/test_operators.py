@@ -331,6 +331,32 @@ def test_dsr_without_events_has_no_limits(spark):
     assert (found.value, found.lowercl, found.uppercl, found.total_count) == (0.0, None, None, 0.0)
 
 
+def test_groups_with_faults_have_no_rate(spark):
+    kind = "k int, f int, b int, x double, n double, w double, m double"
+    rows = [
+        (1, 1, 1, 5.0, 100.0, 10.0, 1.0), (1, 1, 2, 5.0, 100.0, 10.0, 100000.0),
+        (2, 1, 1, 5.0, None, 10.0, 1.0), (2, 1, 2, 5.0, 100.0, 10.0, 1.0),
+        (3, 1, 1, 5.0, 100.0, 10.0, 1.0), (3, 2, 1, 5.0, 200.0, 10.0, 1.0),
+        (4, 1, 1, 5.0, 100.0, 10.0, 1.0), (4, 2, 1, 5.0, 100.0, 10.0, 1.0),
+        (5, None, 1, 5.0, 100.0, 10.0, 1.0), (6, 1, None, 5.0, 100.0, 10.0, 1.0),
+    ]
+    df = spark.createDataFrame(rows, kind)
+    rates, rejects = standardise.dsr_checked(df, ["k"], "x", "n", "w", "m", kind="value")
+    assert sorted(r.k for r in rates.collect()) == [3, 4, 5, 6]
+    assert rows_of(rejects) == [(1, "several multipliers"), (2, "missing denominator")]
+    rates, rejects = standardise.dsr_checked(
+        df, ["k"], "x", "n", "w", "m", kind="standard", event_freq="f", age_band="b"
+    )
+    assert [(r.k, r.total_count, r.total_pop) for r in rates.collect()] == [(4, 15.0, 100.0)]
+    assert rows_of(rejects) == [
+        (1, "several multipliers"), (2, "missing denominator"), (3, "several populations in an age band"),
+        (5, "missing event frequency"), (6, "missing age band"),
+    ]
+    with pytest.raises(ValueError, match="several multipliers"):
+        standardise.dsr(df.filter("k = 1"), ["k"], "x", "n", "w", "m", strict=True)
+    assert standardise.dsr(df.filter("k = 4"), ["k"], "x", "n", "w", "m", strict=True).count() == 1
+
+
 def test_dsr_uses_the_bands_present(spark):
     rows = [(3, 100, 5000), (5, 200, 6000)]
     found = standardise.dsr(bands(spark, rows), ["k"], "x", "n", "w", 1).first()
