@@ -44,12 +44,11 @@ CTES.update(
         ),
         "located": (
             "detailed places lsoa_map wards localities ward_imd footprint",
-            "SELECT d.*, coalesce(p.lsoa_2021, m.lsoa_2021) AS area21, w.ward_code, lad_code, locality, quintile AS imd "
-            "FROM detailed d JOIN places p USING (episode_id) LEFT JOIN lsoa_map m ON m.lsoa_2011 = p.lsoa_2011 "
-            "LEFT JOIN wards w ON w.lsoa_2021 = coalesce(p.lsoa_2021, m.lsoa_2021) "
-            "LEFT JOIN localities l ON l.lsoa_2021 = coalesce(p.lsoa_2021, m.lsoa_2021) "
-            "LEFT JOIN ward_imd i ON i.ward_code = w.ward_code "
-            "WHERE coalesce(p.lsoa_2021, m.lsoa_2021) IN (SELECT lsoa_2021 FROM footprint)",
+            "SELECT d.*, w.ward_code, lad_code, locality, quintile AS imd FROM "
+            "(SELECT d.*, CASE WHEN d.historic = 0 THEN p.lsoa_2021 ELSE m.lsoa_2021 END AS area21 FROM detailed d "
+            "JOIN places p USING (episode_id) LEFT JOIN lsoa_map m ON m.lsoa_2011 = p.lsoa_2011) d "
+            "LEFT JOIN wards w ON w.lsoa_2021 = area21 LEFT JOIN localities l ON l.lsoa_2021 = area21 "
+            "LEFT JOIN ward_imd i ON i.ward_code = w.ward_code WHERE area21 IN (SELECT lsoa_2021 FROM footprint)",
         ),
         "coded_population": (
             "population imd ethnicities sexes ages",
@@ -92,12 +91,7 @@ def detailed(t: Tables):
 
 
 def located(t: Tables):
-    placed = detailed(t).withColumns(
-        {"lsoa_2021": F.lit(None).cast("string"), "lsoa_2011": F.lit(None).cast("string")}
-    )
-    columns = {"lsoa_2021": "lsoa_2021", "lsoa_2011": "lsoa_2011"}
-    placed = lookup.fill_from(placed, [(t.places(), None)], ["episode_id"], columns)
-    return lookup.with_small_area(placed, **t.small_areas())
+    return lookup.with_small_area(build.with_places(detailed(t), t.places()), **t.small_areas())
 
 
 def coded_population(t: Tables):

@@ -190,9 +190,10 @@ PLACE_EXPRS = {
     "area_code": case(
         "c_nationkey % 4", {0: "E08000025", 1: "E08000029", 2: "E08000025"}, "'E08000031'"
     ),
+    # Only the current extract's 2021 area counts, so those of historic episodes must be ignored.
     "lsoa_2021": (
-        f"CASE WHEN {ORDER_DAY} < DATE '1998-01-01' THEN NULL "
-        "ELSE 'L' || CAST(c_nationkey AS STRING) END"
+        f"CASE WHEN {ORDER_DAY} < DATE '1998-01-01' THEN CASE WHEN o_orderkey % 5 = 0 THEN 'L0' END "
+        "WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'L' || CAST(c_nationkey AS STRING) END"
     ),
     "lsoa_2011": "'K' || CAST(c_nationkey AS STRING)",
 }
@@ -217,7 +218,8 @@ AUDIT_EXPRS = {
     "complete": "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END",
 }
 DEMOGRAPHIC_EXPRS = {
-    "person_id": "c_custkey",
+    # Two thirds are persons that no episode has.
+    "person_id": "CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE -c_custkey END",
     "ethnic_code": case("c_custkey % 7", {0: "A", 1: "B", 2: "C", 3: "F"}, "NULL"),
 }
 POPULATION_KEY_EXPRS = {
@@ -343,12 +345,18 @@ class Tables:
         )
 
     def small_areas(self) -> dict[str, DataFrame]:
+        """Lookups in which every key has a second, larger row that must not count."""
         nation = self.raw("nation")
+
+        def repeated(exprs: dict[str, str], column: str, larger: str) -> DataFrame:
+            first = pick(nation, exprs)
+            return first.union(first.withColumn(column, F.expr(larger)))
+
         return {
-            "lsoa_2011_to_2021": pick(nation, LSOA_EXPRS),
-            "wards": pick(nation, WARD_EXPRS),
-            "localities": pick(nation, LOCALITY_EXPRS),
-            "ward_imd": pick(nation, WARD_IMD_EXPRS),
+            "lsoa_2011_to_2021": repeated(LSOA_EXPRS, "lsoa_2021", "'~' || lsoa_2021"),
+            "wards": repeated(WARD_EXPRS, "ward_code", "'~' || ward_code"),
+            "localities": repeated(LOCALITY_EXPRS, "locality", "'~' || locality"),
+            "ward_imd": repeated(WARD_IMD_EXPRS, "quintile", "quintile + 100"),
         }
 
     def footprint(self) -> DataFrame:
@@ -440,7 +448,7 @@ class Tables:
         return pick(self.raw("orders"), AUDIT_EXPRS)
 
     def demographic(self) -> DataFrame:
-        return pick(self.raw("customer").filter("c_custkey % 3 = 0"), DEMOGRAPHIC_EXPRS)
+        return pick(self.raw("customer"), DEMOGRAPHIC_EXPRS)
 
     def population(self) -> DataFrame:
         rows = pick(self.raw("customer"), POPULATION_KEY_EXPRS)
@@ -526,7 +534,7 @@ CTES: dict[str, tuple[str, str]] = {
     "diagnoses": ("", f"SELECT {projection(DIAGNOSIS_EXPRS)} FROM lineitem"),
     "audit": ("", f"SELECT {projection(AUDIT_EXPRS)} FROM orders"),
     "demographic": (
-        "", f"SELECT {projection(DEMOGRAPHIC_EXPRS)} FROM customer WHERE c_custkey % 3 = 0"
+        "", f"SELECT {projection(DEMOGRAPHIC_EXPRS)} FROM customer"
     ),
     "population": (
         "",

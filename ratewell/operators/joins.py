@@ -35,7 +35,10 @@ def bounded(df: DataFrame, max_rows: int = CONSTANT_ROWS) -> DataFrame:
     """``df`` as a constant table when it has at most ``max_rows``, else unchanged.
 
     Spark then broadcasts it by its own size rule.  At most ``max_rows + 1`` rows reach the driver.
+    A table that is constant already is left alone, which saves the job.
     """
+    if df.isLocal():
+        return df
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return df
@@ -70,7 +73,8 @@ def lookup_join(
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys that may hold more than ``share`` of the rows, as a ``__hash`` column.
 
-    One pass, no shuffle of the keys; at most ``1 / share`` rows by construction.
+    One pass, no shuffle of the keys; at most ``1 / share`` rows by construction.  The count is
+    approximate, so the rows are only fit to be collected once.
     """
     hashed = df.select(F.xxhash64(*on).alias("h"))
     frequent = hashed.stat.freqItems(["h"], share)
@@ -101,8 +105,10 @@ def spread_join(
         constant = bounded(lookup, min(small_rows, CONSTANT_ROWS))
         if constant is not lookup:
             return df.join(constant, on, how)
-    # At most 1 / HOT_SHARE rows.
-    hot = F.broadcast(hot_keys(df, on).withColumn("__hot", F.lit(True)))
+    # Taken once: both sides must see the same keys, and an approximate count may not repeat itself.
+    # At most 1 / HOT_SHARE rows reach the driver.
+    listed = [(r["__hash"], True) for r in hot_keys(df, on).collect()]
+    hot = local_table(df.sparkSession, listed, "__hash bigint, __hot boolean")
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(0)
     # Rows with a NULL key match nothing; the row hash spreads them as well.
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])

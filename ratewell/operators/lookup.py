@@ -60,9 +60,18 @@ def with_financial_year(df: DataFrame, dates: DataFrame, column: str = "time_per
 
 
 def with_practice(df: DataFrame, practices: DataFrame) -> DataFrame:
-    """Network, locality and care system of a practice; unknown practices are dropped."""
-    columns = ["practice_code", "pcn_code", "locality", "system"]
-    return df.join(practices.select(columns).dropDuplicates(["practice_code"]), "practice_code")
+    """Network, locality and care system of a practice; unknown practices are dropped.
+
+    A practice with several rows counts with the smallest, by network, locality and system.
+    """
+    columns = ["pcn_code", "locality", "system"]
+    return df.join(one_row(practices, "practice_code", columns), "practice_code")
+
+
+def one_row(lookup: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The smallest row of each key, NULLs first, so that a join repeats nothing."""
+    least = F.min(F.struct(*columns)).alias("__row")
+    return lookup.groupBy(key).agg(least).select(key, *[F.col(f"__row.{c}").alias(c) for c in columns])
 
 
 def _attach(df: DataFrame, found: DataFrame, on: list[str], source: DataFrame, crowded: bool) -> DataFrame:
@@ -133,16 +142,21 @@ def with_small_area(
     localities: DataFrame,
     ward_imd: DataFrame,
 ) -> DataFrame:
-    """Best-fit 2021 small area, then ward, local authority, locality and ward quintile."""
+    """Best-fit 2021 small area, then ward, local authority, locality and ward quintile.
+
+    A key with several lookup rows counts with the smallest, so no event is repeated.
+    """
+    best = one_row(lsoa_2011_to_2021, "lsoa_2011", ["lsoa_2021"]).withColumnRenamed("lsoa_2021", "__best")
     area = (
-        df.join(lsoa_2011_to_2021.select("lsoa_2011", F.col("lsoa_2021").alias("__best")), "lsoa_2011", "left")
+        df.join(best, "lsoa_2011", "left")
         .withColumn("lsoa_2021", F.coalesce("lsoa_2021", "__best"))
         .drop("__best")
     )
+    quintiles = one_row(ward_imd, "ward_code", ["quintile"]).withColumnRenamed("quintile", "imd")
     return (
-        area.join(wards.select("lsoa_2021", "ward_code", "lad_code"), "lsoa_2021", "left")
-        .join(localities.select("lsoa_2021", "locality"), "lsoa_2021", "left")
-        .join(ward_imd.select("ward_code", F.col("quintile").alias("imd")), "ward_code", "left")
+        area.join(one_row(wards, "lsoa_2021", ["ward_code", "lad_code"]), "lsoa_2021", "left")
+        .join(one_row(localities, "lsoa_2021", ["locality"]), "lsoa_2021", "left")
+        .join(quintiles, "ward_code", "left")
     )
 
 

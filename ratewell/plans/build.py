@@ -191,6 +191,20 @@ def with_episode_details(
     return lookup.with_financial_year(cleaned, dates_table)
 
 
+def with_places(events: DataFrame, places: DataFrame) -> DataFrame:
+    """Small area of each event: 2021 from the current extract, 2011 from the historic one.
+
+    A current event without a 2021 area has none; a historic event gets one by best fit.
+    """
+    unknown = F.lit(None).cast("string")
+    placed = lookup.fill_from(
+        events.withColumns({"lsoa_2021": unknown, "lsoa_2011": unknown}), [(places, None)], ["episode_id"],
+        {"lsoa_2021": "lsoa_2021", "lsoa_2011": "lsoa_2011"},
+    )
+    own = {"lsoa_2021": 0, "lsoa_2011": 1}
+    return placed.withColumns({c: F.when(F.col("historic") == flag, F.col(c)) for c, flag in own.items()})
+
+
 def census_denominator(
     events: DataFrame,
     places: DataFrame,
@@ -207,13 +221,7 @@ def census_denominator(
 
     ``small_areas`` are the lookups of ``with_small_area`` by argument name.
     """
-    located = events.withColumns(
-        {"lsoa_2021": F.lit(None).cast("string"), "lsoa_2011": F.lit(None).cast("string")}
-    )
-    located = lookup.fill_from(
-        located, [(places, None)], ["episode_id"],
-        {"lsoa_2021": "lsoa_2021", "lsoa_2011": "lsoa_2011"},
-    )
+    located = with_places(events, places)
     placed = lookup.keep_footprint(lookup.with_small_area(located, **small_areas), footprint)
     start, end = dates.fy_bounds(F.col("financial_year"))
     coded = lookup.with_age_codes(placed, ages)

@@ -155,7 +155,7 @@ def calculate_values(
     Rows of incomplete periods leave first; census rows are pooled into windows; every row is then
     routed.  All routes but one work row by row and share one pass.
     """
-    metadata, ages = bounded(metadata.select(METADATA_COLS)), bounded(ages)
+    metadata, ages = bounded(metadata).select(METADATA_COLS), bounded(ages)
     facts = with_metadata(prepare(data), metadata)
     kept, excluded = exclude_incomplete(facts, current_date=current_date)
     pooled = with_metadata(pool_years(kept, spans, only_yearly=only_yearly), metadata)
