@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.operators.joins import bounded
+from ratewell.operators.ranking import ranked_counts
 
 
 def group_mode(df: DataFrame, keys: list[str], column: str, weight: str | None = None) -> DataFrame:
@@ -23,10 +24,23 @@ def group_mode(df: DataFrame, keys: list[str], column: str, weight: str | None =
 
 
 def group_median(df: DataFrame, keys: list[str], column: str, weight: str | None = None) -> DataFrame:
-    """Exact median per group over counted values; NULLs do not count."""
+    """Exact median per group; NULLs do not count, a group without values has none.
+
+    Values are counted, ranked in ranges and only the middle one or two of each group are kept, so
+    no group is gathered in one place however many values it has.
+    """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    counted = df.groupBy(*keys, column).agg(amount.alias("__n"))
-    return counted.groupBy(*keys).agg(F.percentile(column, 0.5, F.col("__n")).alias("median"))
+    present = F.col(column).isNotNull()
+    counted = df.groupBy(*keys, column).agg(F.when(F.first(present), amount).otherwise(0).alias("__n"))
+    ranked = ranked_counts(counted, column, keys)
+    total = F.col("__total")
+
+    def at(rank: Column) -> Column:
+        inside = (F.col("__rank") <= rank) & (rank < F.col("__rank") + F.col("__n"))
+        return F.max(F.when(inside, F.col(column)))
+
+    lower, upper = at(F.floor((total + 1) / 2)), at(F.floor((total + 2) / 2))
+    return ranked.groupBy(*keys).agg(((lower + upper) / 2).alias("median"))
 
 
 def typical_cycles(

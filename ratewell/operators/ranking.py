@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,29 +29,19 @@ def _matches(by: list[str]) -> Column:
     )
 
 
-def quantile_band(
-    df: DataFrame,
+def ranked_counts(
+    counted: DataFrame,
     column: str,
-    n: int = 5,
-    invert: bool = True,
-    by: list[str] | None = None,
-    name: str = "quantile",
+    by: list[str],
+    order: Callable[[str], Column] = F.asc,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Band 1..n of a value by its smallest rank, so equal values share a band.
+    """Counted values (``by``, ``column``, ``__n``) with first rank and group size.
 
-    With ``invert`` the highest value is in band 1.  Distinct values are counted and ranked in
-    ranges whose sizes are added up; each band is then one span of values per group, so rows are
-    banded by comparison and no crowded value or group meets in one task.
+    Adds ``__rank`` and ``__total``.  Values are ranked
+    in ranges whose sizes are added up, so a group may spread over many tasks.
     """
-    by = by or []
-    value = F.col(column)
-    order = F.desc if invert else F.asc
-    counted = (
-        df.filter(value.isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
-    )
     placed = _placed(counted, [*by, column], partitions)
-
     # One row per group and range.
     sizes = placed.groupBy(*by, "__range").agg(F.sum("__n").alias("__size"))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
@@ -69,13 +60,35 @@ def quantile_band(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     rank = F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0)) + 1
+    joined = placed.join(offsets, _matches(by) & (F.col("__range") == F.col("__at")))
+    return joined.withColumn("__rank", rank).select(*by, column, "__n", "__rank", "__total")
+
+
+def quantile_band(
+    df: DataFrame,
+    column: str,
+    n: int = 5,
+    invert: bool = True,
+    by: list[str] | None = None,
+    name: str = "quantile",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Band 1..n of a value by its smallest rank, so equal values share a band.
+
+    With ``invert`` the highest value is in band 1.  Distinct values are counted and ranked in
+    ranges whose sizes are added up; each band is then one span of values per group, so rows are
+    banded by comparison and no crowded value or group meets in one task.
+    """
+    by = by or []
+    value = F.col(column)
+    order = F.desc if invert else F.asc
+    counted = (
+        df.filter(value.isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
+    )
+    placed = ranked_counts(counted, column, by, order, partitions)
     left_over = F.col("__total") + 1 - F.col("__rank")
     band = F.floor(F.lit(n + 1) - F.ceil(left_over / (F.col("__total") / n)))
-    ranked = (
-        placed.join(offsets, _matches(by) & (F.col("__range") == F.col("__at")))
-        .withColumn("__rank", rank)
-        .withColumn("__band", F.when(band == 0, 1).otherwise(band))
-    )
+    ranked = placed.withColumn("__band", F.when(band == 0, 1).otherwise(band))
     # The last value of each band, one row per group.
     edge = F.min if invert else F.max
     edges = bounded(

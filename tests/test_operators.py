@@ -1,5 +1,6 @@
 import math
 import random
+import statistics
 from datetime import date, datetime
 
 import pytest
@@ -174,6 +175,20 @@ def test_mode_takes_the_smallest_of_equals(spark):
     assert rows_of(complete.group_mode(df, ["k"], "v")) == [(1, "a")]
 
 
+def test_median_of_one_group_of_all_rows(spark, capsys):
+    rng = random.Random(9)
+    for n in (501, 500, 1):
+        values = [rng.randrange(10**6) / 8 for _ in range(n)]
+        df = joins.local_table(spark, [(1, v) for v in values], "k int, v double")
+        found = complete.group_median(df, ["k"], "v")
+        assert found.first().median == statistics.median(values)
+        weighted = complete.group_median(df.withColumn("w", F.expr("int(v) % 3")), ["k"], "v", "w")
+        every = [v for v in values for _ in range(int(v) % 3)]
+        assert weighted.first().median == (statistics.median(every) if every else None)
+    found.explain()
+    assert "percentile" not in capsys.readouterr().out
+
+
 def test_median_averages_the_middle_pair(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 4.0), (1, None), (2, None)], "k int, v double")
     assert rows_of(complete.group_median(df, ["k"], "v")) == [(1, 2.5), (2, None)]
