@@ -17,6 +17,7 @@ _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+CHUNK = 1 << 18
 _SHIFT = np.uint64(31)
 _PLACES = _RNG.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, dtype=bool)
@@ -33,6 +34,7 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, kept between calls."""
     if len(_POWERS[0]) < n:
+        n += n >> 2
         for i, base in enumerate((_BASE, _INVERSE)):
             grown = np.full(n, base, np.uint64)
             grown[0] = 1
@@ -81,12 +83,23 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The hash of each run of bytes data[start:end]."""
-    up, down = _powers(len(data) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-        return mix((total[end] - total[start]) * down[start])
+    """The hash of each run of bytes data[start:end]; starts and ends ascend.
+
+    Running sums are made for about ``CHUNK`` bytes at a time, so they take little memory.
+    """
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        upto = max(at + 1, int(np.searchsorted(start, start[at] + CHUNK)))
+        low, high = int(start[at]), int(end[upto - 1])
+        up, down = _powers(high - low + 1)
+        total = np.zeros(high - low + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(_BYTE[data[low:high]] * up[: high - low], out=total[1:])
+            found = (total[end[at:upto] - low] - total[start[at:upto] - low]) * down[start[at:upto] - low]
+        out[at:upto] = mix(found)
+        at = upto
+    return out
 
 
 def spaced_pieces(column: pa.Array | pa.ChunkedArray) -> Words:
@@ -147,7 +160,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return mix(total + np.uint64(width))
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text, so that memory stays bounded."""
     for batch in batches:
         at, sizes = 0, None
