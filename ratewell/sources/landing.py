@@ -11,9 +11,9 @@ from ratewell.operators.joins import bounded
 from ratewell.operators.select import filter_areas
 from ratewell.operators.sets import union_by_name
 from ratewell.schema import FACT_COLS, FACT_SCHEMA
+from ratewell.staging import stage
 
-MAX_HEADERS = 1_000
-MAX_FILES = 100_000
+TEMPLATES = "[iI][dD]*.[cC][sS][vV]"
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -41,49 +41,68 @@ def file_name(path: str = "file_path") -> Column:
     return F.element_at(F.split(plain_path(path), "/"), -1)
 
 
-def csv_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """First line of every file (file_path, header): one short row per file leaves each task."""
-    lines = spark.read.text(paths).select(
+def csv_headers(spark: SparkSession, paths: str | list[str], files: str | None = None) -> DataFrame:
+    """Per file: ``file_path``, its first line ``header``, the column ``names`` and ``has_rows``.
+
+    A file's first line is in its first block.  The headers are read once and written to a table;
+    names are parsed as CSV, so a quoted comma parts nothing; a nameless column is ``_c<place>``.
+    ``files`` is a glob on the file name.
+    """
+    reader = spark.read if files is None else spark.read.option("pathGlobFilter", files)
+    lines = reader.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    first = F.min_by("value", F.struct("block", "line"))
-    return lines.groupBy("file_path").agg(first.alias("header"))
+    first = lines.filter("block = 0").groupBy("file_path").agg(
+        F.min_by("value", "line").alias("header"),
+        (F.count_if(F.trim("value") != "") > 1).alias("has_rows"),
+    )
+    found = stage(first)
+    # No header has more columns than commas and one.
+    unquoted = F.regexp_replace("header", '"[^"]*"', "")
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
+    width = (found.agg(F.max(commas)).first()[0] or 0) + 1
+    cells = F.from_csv("header", F.lit(_layout(width)))
+    named = F.array(*[cells[f"_c{i}"] for i in range(width)])
+    names_ = F.transform(
+        F.slice(named, 1, commas + 1),
+        lambda c, i: F.when(F.trim(c) != "", F.trim(c)).otherwise(F.concat(F.lit("_c"), i.cast("string"))),
+    )
+    return found.select("file_path", "header", "has_rows", names_.alias("names"))
+
+
+def _layout(width: int) -> str:
+    return ", ".join(f"_c{i} string" for i in range(width))
 
 
 def read_by_header(
-    spark: SparkSession, headers: DataFrame, max_files: int = MAX_FILES
+    spark: SparkSession, paths: str | list[str], headers: DataFrame, files: str | None = None
 ) -> DataFrame | None:
-    """All-text rows of the files, read once per distinct header and matched by column name.
+    """All-text rows of the files in ``headers``, columns matched by name, with their ``file_name``.
 
-    Adds the ``file_name`` of each row.  Up to ``max_files`` paths are listed on the driver; with
-    more files each header reads the folders of all of them and keeps the rows of its own files.
+    All files are read at once by place, whatever their headers, and each row's cells are picked by
+    the names of its file.  Quoted line breaks stay in their cell; therefore a file is one task.
+    Files without rows give no columns; None when no file has rows.  To the driver go the distinct
+    column names.
     """
-    kinds = [r[0] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(kinds) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers")
-    listed = headers.select("header", plain_path().alias("path")).limit(max_files + 1).collect()
-    folders = None
-    if len(listed) > max_files:
-        found = headers.select(F.regexp_replace(plain_path(), "/[^/]*$", "").alias("folder"))
-        folders = sorted(r[0] for r in found.distinct().collect())
-    parts = []
-    for header in sorted(kinds):
-        paths = folders or [r["path"] for r in listed if r["header"] == header]
-        # The column names come from one file of this header, whatever the others hold.
-        sample = headers.filter(F.col("header") == header).select(plain_path()).first()[0]
-        layout = spark.read.csv(sample, header=True, inferSchema=False).schema
-        rows = spark.read.schema(layout).csv(paths, header=True).select(
-            "*", F.col("_metadata.file_path").alias("file_path")
-        )
-        if folders:
-            own = headers.filter(F.col("header") == header).select("file_path")
-            rows = rows.join(bounded(own), "file_path", "left_semi")
-        parts.append(rows)
-    if not parts:
+    useful = headers.filter("has_rows").select("file_path", "names")
+    listed = useful.select(F.explode("names").alias("name")).distinct().orderBy("name").collect()
+    if not listed:
         return None
-    return union_by_name(*parts).withColumn("file_name", file_name()).drop("file_path")
+    width = useful.agg(F.max(F.size("names"))).first()[0]
+    reader = spark.read.schema(_layout(width)).options(header=True, multiLine=True, escape='"')
+    if files is not None:
+        reader = reader.option("pathGlobFilter", files)
+    rows = reader.csv(paths).select(
+        F.array(*[f"_c{i}" for i in range(width)]).alias("__cells"), F.col("_metadata.file_path").alias("file_path")
+    )
+    joined = rows.join(useful, "file_path")
+    picked = [
+        F.get("__cells", F.nullif(F.array_position("names", F.lit(r["name"])), F.lit(0)).cast("int") - 1).alias(r["name"])
+        for r in listed
+    ]
+    return joined.select(*picked, file_name().alias("file_name"))
 
 
 def accepted(validation: Column) -> Column:
@@ -118,12 +137,9 @@ def ingest_templates(
 
     A file without all landing columns has failed.
     """
-    found = csv_headers(spark, data_glob).withColumn("file_name", file_name())
-    headers = found.filter(F.col("file_name").rlike(r"(?i)^id.*\.csv$"))
-    listed = F.transform(F.split("header", ","), lambda c: F.trim(F.trim(c), F.lit('"')))
-    complete = F.size(F.array_except(F.array(*[F.lit(c) for c in FACT_COLS]), listed)) == 0
-    readable = headers.filter(complete)
-    rows = read_by_header(spark, readable)
+    headers = csv_headers(spark, data_glob, TEMPLATES).withColumn("file_name", file_name())
+    complete = F.size(F.array_except(F.array(*[F.lit(c) for c in FACT_COLS]), "names")) == 0
+    rows = read_by_header(spark, data_glob, headers.filter(complete), TEMPLATES)
     if rows is None:
         text = T.StructType([T.StructField(c, T.StringType()) for c in [*FACT_COLS, "file_name"]])
         rows = spark.createDataFrame([], text)
@@ -139,11 +155,12 @@ def land_api_csv(
 ) -> DataFrame | None:
     """All-text rows of downloaded extracts, columns matched by name.
 
-    Files that are blank or start with "No data" are left out; None when nothing is left.
+    Files that are blank, have no rows or start with "No data" are left out with their columns;
+    None when nothing is left.
     """
     headers = csv_headers(spark, paths)
     useful = (F.trim("header") != "") & ~F.ltrim("header").startswith("No data")
-    rows = read_by_header(spark, headers.filter(useful))
+    rows = read_by_header(spark, paths, headers.filter(useful))
     if rows is None:
         return None
     rows = rows.drop("file_name")

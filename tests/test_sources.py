@@ -64,15 +64,34 @@ def test_api_extracts_are_matched_by_name(spark, tmp_path):
     assert landing.land_api_csv(spark, str(tmp_path), listed).count() == 1
 
 
-def test_files_beyond_the_listing_limit_are_read_all_the_same(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("Area Code,Value\nE1,1\nE2,2\n")
-    (tmp_path / "b b.csv").write_text("Value,Area Code\n3,E1\n")
-    (tmp_path / "c.csv").write_text("Area Code,Value\nE3,4\n")
-    headers = landing.csv_headers(spark, str(tmp_path))
-    for limit in (1, 100):
-        rows = landing.read_by_header(spark, headers, max_files=limit)
-        found = sorted((r["Area Code"], r["Value"], r["file_name"]) for r in rows.collect())
-        assert found == [("E1", "1", "a.csv"), ("E1", "3", "b b.csv"), ("E2", "2", "a.csv"), ("E3", "4", "c.csv")]
+def jobs_of(spark, work):
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{work.__name__}-{id(work)}"
+    spark.sparkContext.setJobGroup(group, "")
+    found = work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found, len(tracker.getJobIdsForGroup(group))
+
+
+def test_headers_quotes_and_files_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Area Code,"Value, all",Note\nE1,1,"two\nlines"\nE2,2,"a ""b"", c"\n')
+    (tmp_path / "b b.csv").write_text('Note,Area Code\n,E3\n')
+    (tmp_path / "c.csv").write_text("Area Code,extra\n")
+    rows = landing.land_api_csv(spark, str(tmp_path))
+    assert sorted(rows.columns) == ["Area Code", "Note", "Value, all"]
+    found = sorted((r["Area Code"], r["Value, all"], r["Note"]) for r in rows.collect())
+    assert found == [("E1", "1", "two\nlines"), ("E2", "2", 'a "b", c'), ("E3", None, None)]
+
+
+def test_jobs_do_not_grow_with_headers(spark, tmp_path):
+    for k in range(40):
+        folder = tmp_path / ("few" if k < 2 else "many")
+        folder.mkdir(exist_ok=True)
+        (folder / f"f{k}.csv").write_text(f"Area Code,Value {k}\nE{k},{k}\n")
+    (_, few), (rows, many) = (
+        jobs_of(spark, lambda n=n: landing.land_api_csv(spark, str(tmp_path / n))) for n in ("few", "many")
+    )
+    assert many < 30 and many <= 2 * few and len(rows.columns) == 39
+    assert sorted((r["Area Code"], r["Value 7"]) for r in rows.collect() if r["Value 7"]) == [("E7", "7")]
 
 
 def test_api_without_data(spark, tmp_path):
