@@ -21,6 +21,7 @@ from ratewell.operators import lookup, ranking, select, sets
 from ratewell.schema import FACT_COLS, GEOGRAPHY
 from ratewell.session import shared_dir
 from ratewell.sources import landing, sinks
+from ratewell.staging import stage
 
 # sources ------------------------------------------------------------------------------------
 _TEXT_FACTS = {
@@ -150,7 +151,9 @@ def replaced_results(t):
     table = f"{scratch}.published"
     sinks.create_results(old, table)
     sinks.replace_indicators(new, table, "1, 2, 3")
-    return t.spark.table(table)
+    found = stage(t.spark.table(table))
+    t.spark.sql(f"DROP DATABASE {scratch} CASCADE")
+    return found
 
 
 # scalar functions ---------------------------------------------------------------------------
@@ -384,8 +387,8 @@ def _area_rows(t: Tables):
 _AREA_SQL = (
     "SELECT 'N' || s_nationkey AS parent, CASE WHEN l_suppkey = 7 THEN 'M88006' ELSE 'P' || l_suppkey END AS area, "
     "l_returnflag AS kind, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
-    "GROUP BY ALL, l_linenumber"
-).replace("GROUP BY ALL, l_linenumber", "GROUP BY s_nationkey, l_suppkey, l_returnflag, l_linenumber")
+    "GROUP BY s_nationkey, l_suppkey, l_returnflag, l_linenumber"
+)
 
 
 @query(

@@ -332,8 +332,10 @@ class Tables:
         )
         return bounded(
             union_by_name(
-                self.local(FIXED_AREAS, GEOGRAPHY_COLUMNS.replace(",", " string,").replace(
-                    "id string", "id int") + " string"),
+                self.local(
+                    FIXED_AREAS,
+                    "aggregation_id int, aggregation_type string, aggregation_code string, aggregation_label string",
+                ),
                 pick(self.raw("nation"), WARD_AREA_EXPRS),
                 networks.selectExpr(
                     "1000 + CAST(substring(pcn_code, 2, 9) AS INT) AS aggregation_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,15 +28,24 @@ def build_session(app: str = "ratewell", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+OWN = "ratewell.shared.dir"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``, or a new one in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor sees: ``spark.checkpoint.dir``.
+
+    Only in local mode may it be unset; the session then gets one folder of its own, which is
+    removed when Python ends.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN, None)
     if folder:
         return folder
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    if not context.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="ratewell-")
+    folder = tempfile.mkdtemp(prefix="ratewell-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set(OWN, folder)
+    return folder

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewell.operators.select import IndicatorIds, normalise_ids
 from ratewell.schema import FACT_COLS
+from ratewell.staging import stage
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
@@ -51,7 +52,8 @@ def replace_indicators(df: DataFrame, table: str, ids: IndicatorIds = None) -> N
     """
     spark = df.sparkSession
     wanted = normalise_ids(ids)
-    new = df.select(spark.table(table).columns)
+    # Written once: it is read three times, and it may come from the table itself.
+    new = stage(df.select(spark.table(table).columns))
     if wanted is None:
         _overwrite(new, table, "static")
         return
@@ -60,12 +62,13 @@ def replace_indicators(df: DataFrame, table: str, ids: IndicatorIds = None) -> N
     replaced, others = new.filter(listed), new.filter(~listed)
     # At most one row per requested id.
     present = {r[0] for r in replaced.select("indicator_id").distinct().collect()}
+    if present:
+        _overwrite(replaced, table, "dynamic")
+    if not others.isEmpty():
+        _by_indicator(others).write.insertInto(table)
     for number in numbers:
         if number not in present:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (indicator_id = {number})")
-    if present:
-        _overwrite(replaced, table, "dynamic")
-    _by_indicator(others).write.insertInto(table)
 
 
 def replace_submitted(df: DataFrame, table: str) -> None:
