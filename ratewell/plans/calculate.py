@@ -17,6 +17,7 @@ from ratewell.operators.pooling import pool_years
 from ratewell.operators.sets import union_by_name
 from ratewell.operators.standardise import dsr, dsr_validate, signed
 from ratewell.schema import CODES, DASR_KEYS, METADATA_COLS, PROCESSED_SCHEMA, TIDY_COLS
+from ratewell.staging import stage
 
 KEEP, SKIP, PERCENTAGE, RATE, DASR, UNSUPPORTED = (
     "keep", "skip", "percentage", "rate", "dasr", "unsupported"
@@ -25,7 +26,7 @@ KEEP, SKIP, PERCENTAGE, RATE, DASR, UNSUPPORTED = (
 
 @dataclass(frozen=True)
 class Result:
-    """The combined output and its parts, all lazy."""
+    """The combined output and its parts; each reads the routed rows, which are a written table."""
 
     combined: DataFrame
     keep: DataFrame
@@ -106,18 +107,29 @@ def calc_dasr(df: DataFrame, metadata: DataFrame, ages: DataFrame) -> tuple[Data
 
 
 def by_row(routed: DataFrame) -> DataFrame:
-    """Every route but the age-standardised one, in one pass over the rows.
+    """Every route but the age-standardised one, row by row.
 
-    Limits, scaling and cleaning are separate steps, so that each limit is worked out once.
+    Small fractional counts need limits found by bisection, which generated code can't hold, so they
+    are a branch of their own; all other rows stay in generated code.
     """
+    x = F.abs(F.coalesce("numerator", F.lit(0.0)))
+    fractional = (F.col("route") == RATE) & (x < intervals.EXACT_BELOW) & (x != F.floor(x))
+    rows = routed.filter(F.col("route").isin(KEEP, SKIP, PERCENTAGE, RATE))
+    return union_by_name(
+        _by_row(rows.filter(~fractional), False), _by_row(rows.filter(fractional), True)
+    )
+
+
+def _by_row(rows: DataFrame, fractional: bool) -> DataFrame:
+    """Limits, scaling and cleaning are separate steps, so that each limit is worked out once."""
     way = F.col("route")
     calculated = way.isin(PERCENTAGE, RATE)
     x, n = F.col("__x"), F.col("denominator")
-    started = routed.filter(way.isin(KEEP, SKIP, PERCENTAGE, RATE)).withColumn(
+    started = rows.withColumn(
         "__x", F.when(calculated, F.coalesce(F.col("numerator"), F.lit(0.0)))
     )
     wilson = intervals.wilson(x, n)
-    poisson = intervals.poisson_limits(F.abs(x))
+    poisson = intervals.poisson_limits(F.abs(x), fractional=fractional)
     limited = started.withColumns(
         {
             name: F.when(way == PERCENTAGE, share).when(way == RATE, F.try_divide(count, n))
@@ -153,7 +165,9 @@ def calculate_values(
     """The whole calculation on staged facts.
 
     Rows of incomplete periods leave first; census rows are pooled into windows; every row is then
-    routed.  All routes but one work row by row and share one pass.
+    routed.  All routes but one work row by row.  Building the result runs jobs: the usual cycle of
+    each kind of period is taken from the facts, small dimensions become constants unless they are,
+    and the routed rows are written to a staging table.
     """
     metadata, ages = bounded(metadata).select(METADATA_COLS), bounded(ages)
     facts = with_metadata(prepare(data), metadata)
@@ -161,7 +175,8 @@ def calculate_values(
     pooled = with_metadata(pool_years(kept, spans, only_yearly=only_yearly), metadata)
     every = union_by_name(pooled, kept.select(pooled.columns))
     coded = every.join(one_age_per_indicator(metadata, ages), "indicator_id", "left")
-    routed = route(coded)
+    # Written once: every part of the result reads it.
+    routed = stage(route(coded))
 
     rows = by_row(routed)
     standardised, rejected = calc_dasr(routed.filter(F.col("route") == DASR), metadata, ages)
