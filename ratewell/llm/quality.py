@@ -83,10 +83,11 @@ def logits(found: Features, weights: np.ndarray, bias: float) -> np.ndarray:
     return (total[high] - total[low]) / np.maximum(many[high] - many[low], 1) + bias
 
 
-def train(texts: pa.Array, labels: np.ndarray, buckets: int = 1 << 17, width: int = 8, epochs: int = 6, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: pa.Array, labels: np.ndarray, buckets: int = 1 << 17, width: int = 8, steps: int = 12_000, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Learn embeddings and softmax layer; returns the weight of each feature and the bias.
 
-    One step per text; classes weigh alike.  The same rows in the same order give the same model.
+    One step per text, ``steps`` in all over several passes; classes weigh alike.  The same rows in the
+    same order give the same model.
     """
     docs = []
     for at in range(0, len(texts), 256):
@@ -103,7 +104,8 @@ def train(texts: pa.Array, labels: np.ndarray, buckets: int = 1 << 17, width: in
     layer, bias = np.zeros((width, 2), np.float32), np.zeros(2, np.float32)
     share = np.bincount(labels, minlength=2) / max(len(labels), 1)
     weigh = np.where(share > 0, 0.5 / np.maximum(share, 1e-9), 0).clip(0, 4)
-    steps, done = epochs * len(docs), 0
+    epochs, done = -(-steps // max(len(docs), 1)), 0
+    steps = epochs * len(docs)
     for _ in range(epochs):
         for k in rng.permutation(len(docs)):
             index, part = docs[k]
