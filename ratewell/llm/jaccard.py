@@ -32,6 +32,7 @@ from ratewell.staging import stage
 
 COUNTERS = 20  # as a power of two
 BLOCK = 14
+PARITIES = 1024  # bits of a class's signature
 MEMBERS = 26  # bits of the table that says which classes are asked for
 
 
@@ -96,22 +97,31 @@ def global_order(docs: DataFrame, size: int, fragments: int) -> Order:
 
 
 def heads(docs: DataFrame, order, size: int, percent: int) -> DataFrame:
-    """Per row its set's class, size and head in the global order: doc_id, class, n, head."""
-    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("head", pa.list_(pa.int64()))])
+    """Per row its set's class, size, signature and head in the global order.
+
+    The signature has a bit for each of ``PARITIES`` buckets of n-grams: whether their number is odd.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("signature", pa.list_(pa.int64())), ("head", pa.list_(pa.int64()))])
+    width = PARITIES // 64
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, "text"):
-            kinds, sizes, first = [], [], []
+            kinds, sizes, first, odd = [], [], [], []
             for found in document_sets(batch, size):
                 n = len(found)
                 kinds.append(class_of(found))
                 sizes.append(n)
+                buckets = np.bincount((found & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+                odd.append(np.packbits((buckets & 1).astype(np.uint8)).view(np.int64))
                 first.append(order.value.place(found)[: n - -(-percent * n // 100) + 1].view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first), pa.int64()))
-            yield batch_of(schema, batch.column("doc_id"), kinds, sizes, lists)
+            every = pa.array(np.arange(0, width * len(odd) + 1, width, dtype=np.int32))
+            signs = pa.ListArray.from_arrays(every, pa.array(np.concatenate(odd), pa.int64()))
+            yield batch_of(schema, batch.column("doc_id"), kinds, sizes, signs, lists)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, class long, n long, head array<long>")
+    kind = "doc_id long, class long, n long, signature array<long>, head array<long>"
+    return docs.select("doc_id", "text").mapInArrow(cut, kind)
 
 
 def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
@@ -176,6 +186,25 @@ def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return total.where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
 
 
+def close_pairs(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures differ in no more bits than sets that link may differ in n-grams.
+
+    An n-gram that one set has more changes one bit, so sets differ in at least as many n-grams as
+    their signatures in bits: nothing that links is lost, and unlike sets are told apart without
+    being sent anywhere.
+    """
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    signs = rows.where("n > 0").join(wanted, "class", "left_semi").select("class", "signature").dropDuplicates(["class"])
+    left = signs.select(F.col("class").alias("a"), F.col("signature").alias("sa"))
+    right = signs.select(F.col("class").alias("b"), F.col("signature").alias("sb"))
+    bits = F.aggregate(
+        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+    )
+    need = F.expr(f"(({percent} * (na + nb) + {99 + percent}) div {100 + percent})")
+    near = pairs.join(left, "a").join(right, "b").where(bits <= F.col("na") + F.col("nb") - 2 * need)
+    return near.select("a", "na", "b", "nb")
+
+
 def may_link(na: str, pa_: str, nb: str, pb: str, percent: int) -> Column:
     """Whether two sets of these sizes can link if their first common n-gram is at these positions."""
     need = f"(({percent} * ({na} + {nb}) + {99 + percent}) div {100 + percent})"
@@ -205,7 +234,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     first = first.select("gram", F.col("f.a").alias("a"), F.col("f.n").alias("na"), F.col("f.pos").alias("posa"))
     stars = posted.join(first, "gram").where("class <> a").where(may_link("na", "posa", "n", "pos", percent))
     stars = stage(stars.select("a", "na", F.col("class").alias("b"), F.col("n").alias("nb")).distinct())
-    found = linked_among(docs, stars, order, size, percent)
+    found = linked_among(docs, rows, stars, order, size, percent)
 
     roots = connected(found)
     named = posted.join(roots, posted["class"] == roots["node"], "left")
@@ -224,7 +253,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     crossed = stage(crossed.join(done, ["a", "b"], "left_anti"))
     if not crossed.isEmpty():
-        found = found.union(linked_among(docs, crossed, order, size, percent))
+        found = found.union(linked_among(docs, rows, crossed, order, size, percent))
         roots = connected(found)
 
     classes = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -238,8 +267,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     )
 
 
-def linked_among(docs: DataFrame, pairs: DataFrame, order, size: int, percent: int) -> DataFrame:
+def linked_among(docs: DataFrame, rows: DataFrame, pairs: DataFrame, order, size: int, percent: int) -> DataFrame:
     """The links among candidate pairs, as a written table."""
+    pairs = stage(close_pairs(pairs, rows, percent))
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     parts = stage(segments(docs, wanted, order, size))
     return stage(linked_pairs(pairs, parts, percent))
