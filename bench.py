@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from ratewell.catalog import QUERIES, run
@@ -34,6 +35,8 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
         spark__ui__showConsoleProgress="false",
+        # Local mode only; on a cluster the setting names a folder that all executors share.
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n in QUERIES]

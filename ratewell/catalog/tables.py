@@ -25,8 +25,9 @@ OUTSIDE = "Outside"
 
 AGE_RANGES = {20: (65, 120, "65+ yrs"), 21: (0, 74, "<75 yrs"), 22: (15, 24, "15-24 yrs")}
 
+STANDARDISED = "Directly age standardised rate"
 VALUE_TYPES = [
-    (2, "Percentage"), (3, "Crude rate"), (4, "Directly age standardised rate"),
+    (2, "Percentage"), (3, "Crude rate"), (4, STANDARDISED),
     (5, "Count"), (7, "Ratio"),
 ]
 METADATA_SCHEMA = (
@@ -36,7 +37,7 @@ METADATA_SCHEMA = (
 METADATA = [
     (1, "All ages", "Calendar", 100.0, 1, "Census", "Census 2021", "No", "Percentage"),
     (2, "All ages", "Calendar", 1000.0, 2, "Census", "mid-year CENSUS", "No", "Crude rate"),
-    (3, "All ages", "Financial", 100000.0, 1, "Census", "Census 2021", "No", VALUE_TYPES[2][1]),
+    (3, "All ages", "Financial", 100000.0, 1, "Census", "Census 2021", "No", STANDARDISED),
     (4, "All ages", "Calendar", 1.0, 1, "GP registered", "Practice list", "No", "Ratio"),
     (5, "All ages", "Calendar", 100.0, 3, "GP registered", "Practice list", "No", "Percentage"),
     (6, "65+ yrs", "Financial", None, 1, "Defined cohort", "Audit", "Yes", "Crude rate"),
@@ -148,7 +149,7 @@ PART_EXPRS = {
         "WHEN p_type = 'PROMO' THEN NULL ELSE 'Practice list' END"
     ),
     "precalculated": "CASE WHEN p_size % 5 = 0 THEN 'Yes' ELSE 'No' END",
-    "value_type": case("p_size % 4", {0: VALUE_TYPES[2][1], 1: "Percentage", 2: "Ratio"}, "NULL"),
+    "value_type": case("p_size % 4", {0: STANDARDISED, 1: "Percentage", 2: "Ratio"}, "NULL"),
 }
 
 PRACTICE_EXPRS = {

@@ -11,6 +11,7 @@ from ratewell.functions import intervals
 from ratewell.operators.pooling import total
 from ratewell.schema import CODES
 
+# The kinds of output; `dsr` has the method and statistic texts.
 KINDS = ("value", "lower", "upper", "standard", "full")
 
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# Fixed values down to METADATA_COLS: column layouts and grouping keys that must match.
 FACT_SCHEMA = T.StructType(
     [
         T.StructField("indicator_id", T.IntegerType()),
