@@ -251,9 +251,15 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
         F.greatest("class", "class_").alias("b"), F.when(F.expr("class < class_"), F.col("n_")).otherwise(F.col("n")).alias("nb"),
     ).distinct()
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossed = stage(crossed.join(done, ["a", "b"], "left_anti"))
+    crossed = stage(close_pairs(crossed.join(done, ["a", "b"], "left_anti"), rows, percent))
     if not crossed.isEmpty():
-        found = found.union(linked_among(docs, rows, crossed, order, size, percent))
+        parts = wanted_segments(docs, crossed, order, size)
+        # One pair for each class and component first: where it links, the others need no counting.
+        some = stage(one_partner(apart(crossed, roots)))
+        found = found.union(stage(linked_pairs(some, parts, percent)))
+        roots = connected(found)
+        rest = apart(crossed.join(some.select("a", "b"), ["a", "b"], "left_anti"), roots)
+        found = found.union(stage(linked_pairs(rest.select("a", "na", "b", "nb"), parts, percent)))
         roots = connected(found)
 
     classes = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -270,6 +276,26 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
 def linked_among(docs: DataFrame, rows: DataFrame, pairs: DataFrame, order, size: int, percent: int) -> DataFrame:
     """The links among candidate pairs, as a written table."""
     pairs = stage(close_pairs(pairs, rows, percent))
+    return stage(linked_pairs(pairs, wanted_segments(docs, pairs, order, size), percent))
+
+
+def wanted_segments(docs: DataFrame, pairs: DataFrame, order, size: int) -> DataFrame:
+    """The segments of all classes in some pairs, as a written table."""
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    parts = stage(segments(docs, wanted, order, size))
-    return stage(linked_pairs(pairs, parts, percent))
+    return stage(segments(docs, wanted, order, size))
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components, with ``ra`` and ``rb``, their roots."""
+    first = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    second = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    both = pairs.join(first, "a", "left").join(second, "b", "left")
+    named = both.withColumn("ra", F.coalesce("ra", "a")).withColumn("rb", F.coalesce("rb", "b"))
+    return named.where("ra <> rb").select("a", "na", "b", "nb", "ra", "rb")
+
+
+def one_partner(pairs: DataFrame) -> DataFrame:
+    """Of the pairs of a class with a component, one; every two components with pairs keep one."""
+    right = pairs.groupBy("a", "rb").agg(F.min("b").alias("b"))
+    left = pairs.groupBy("b", "ra").agg(F.min("a").alias("a"))
+    return pairs.join(right, ["a", "rb", "b"], "left_semi").join(left, ["b", "ra", "a"], "left_semi").select("a", "na", "b", "nb")
