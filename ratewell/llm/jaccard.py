@@ -125,9 +125,10 @@ def heads(docs: DataFrame, order, size: int, percent: int) -> DataFrame:
 
 
 def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
-    """The sets of the ``wanted`` classes, cut at the fragments: class, fragment, segment.
+    """The sets of the ``wanted`` classes, cut at the fragments: class, fragment, segment; each once.
 
-    Which classes are asked for is a table of 2**26 bits, so its size doesn't grow; a class that only
+    Rows of one class have the same segments: a task cuts those of the first, and of what tasks found
+    one stays, so a pair of classes costs no more for having many copies.  Which classes are asked for is a table of 2**26 bits, so its size doesn't grow; a class that only
     shares a bit with one that is asked for is dropped by the join that follows.
     """
     bits = F.col("class").bitwiseAND((1 << MEMBERS) - 1)
@@ -147,13 +148,15 @@ def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
     out = pa.schema([("class", pa.int64()), ("fragment", pa.int32()), ("segment", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
         for batch in in_slices(batches, "text"):
             rows = []
             for found in document_sets(batch, size):
                 kind = class_of(found)
                 bit = kind & ((1 << MEMBERS) - 1)
-                if not len(found) or not members.value[bit >> 3] >> (7 - (bit & 7)) & 1:
+                if not len(found) or kind in done or not members.value[bit >> 3] >> (7 - (bit & 7)) & 1:
                     continue
+                done.add(kind)
                 placed = order.value.place(found)
                 ends = [0, *np.searchsorted(placed, order.value.cuts).tolist(), len(placed)]
                 rows += [(kind, k, placed[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
@@ -161,7 +164,7 @@ def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
                 yield batch_of(out, *zip(*rows))
 
     found = docs.select("text").mapInArrow(cut, "class long, fragment int, segment binary")
-    return found.join(wanted.select("class").distinct(), "class", "left_semi")
+    return found.join(wanted.select("class").distinct(), "class", "left_semi").dropDuplicates(["class", "fragment"])
 
 
 def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -180,9 +183,7 @@ def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     right = parts.select(F.col("class").alias("b"), "fragment", F.col("segment").alias("sb"))
     both = pairs.join(right, "b").join(left, ["a", "fragment"]).select("a", "na", "b", "nb", "fragment", "sa", "sb")
     counted = both.mapInArrow(overlap, "a long, na long, b long, nb long, fragment int, common long")
-    # A class that occurs in several rows brings its segments as often; each counts once.
-    once = counted.groupBy("a", "na", "b", "nb", "fragment").agg(F.max("common").alias("common"))
-    total = once.groupBy("a", "na", "b", "nb").agg(F.sum("common").alias("common"))
+    total = counted.groupBy("a", "na", "b", "nb").agg(F.sum("common").alias("common"))
     return total.where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
 
 

@@ -4,7 +4,7 @@ import pytest
 from rows import awkward, documents, near_copies, words
 
 from ratewell.llm.components import connected
-from ratewell.llm.jaccard import jaccard_components
+from ratewell.llm.jaccard import close_pairs, global_order, heads, jaccard_components, linked_pairs, wanted_segments
 
 
 def sets_of(rows, size):
@@ -75,6 +75,22 @@ def test_groups_with_chains_and_outliers(spark, seed):
     assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
 
 
+def test_copies_bring_their_segments_once(spark):
+    rng = random.Random(5)
+    base = words(rng, 90, 3000)
+    near = [*base[:-1], "other"]
+    rows = [(k, " ".join(base if k % 2 else near)) for k in range(60)]
+    docs = documents(spark, rows).repartition(4)
+    order = spark.sparkContext.broadcast(global_order(docs, 4, 4))
+    found = heads(docs, order, 4, 85)
+    one, two = found.select("class", "n").distinct().collect()
+    pairs = spark.createDataFrame([(one["class"], one["n"], two["class"], two["n"])], "a long, na long, b long, nb long")
+    parts = wanted_segments(docs, close_pairs(pairs, found, 85), order, 4)
+    assert 2 <= parts.count() == parts.select("class", "fragment").distinct().count() <= 8
+    assert [(r.a, r.b) for r in linked_pairs(pairs, parts, 85).collect()] == [(one["class"], two["class"])]
+    assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
+
+
 def test_empty_table(spark):
     assert jaccard_components(documents(spark, [])).collect() == []
 
