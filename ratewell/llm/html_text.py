@@ -3,8 +3,8 @@
 A page is read as a stream of parser events and cut into lines, one for each block of text.  A line's
 ratio is its characters outside links over its tags.  Ratios are smoothed with a Gaussian kernel along
 the page, and lines at or above a threshold taken from the page's own spread are seeds.  Seeds cluster
-by the container that holds them; the content region is the innermost container, no deeper than an article, with
-most of the seeds' text, and short lines inside it belong to it.  What stands in navigation, page headers and
+by the container that holds them; the content region is the innermost container, no deeper than an article or main,
+that holds all seeds, and short lines inside it belong to it.  What stands in navigation, page headers and
 footers, sidebars, notices, adverts, forms or comments is never content.
 """
 
@@ -55,7 +55,7 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # tag, unwanted, container
-        self.parents, self.depth, self.within = [-1], [0], [False]  # of each container; within an article
+        self.parents, self.depth, self.within = [-1], [0], [False]  # of each container; within an article or main
         self.lines: list[tuple[str, int, int, int, bool]] = []
         self.hidden = self.links = self.tags = self.linked = 0
         self.held: list[str] = []
@@ -96,7 +96,7 @@ class Lines(HTMLParser):
             container = len(self.parents)
             self.parents.append(above[2])
             self.depth.append(self.depth[above[2]] + 1)
-            self.within.append(self.within[above[2]] or self.inside("article"))
+            self.within.append(self.inside("article") or tag != "article" and self.inside("main"))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
         self.stack.append((tag, unwanted, container))
@@ -161,7 +161,7 @@ def smooth(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratio)), kernel)[reach : reach + len(ratio)]
 
 
-def main_text(html: str | None, sigma: float = 1.0, most: float = 0.8) -> str:
+def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The blocks of the content region in page order, joined by two line ends."""
     page = Lines()
     page.feed(html or "")
@@ -175,18 +175,16 @@ def main_text(html: str | None, sigma: float = 1.0, most: float = 0.8) -> str:
     seeds = (found >= min(found.std(), found.max())) & (ratio > 0)
     if not seeds.any():
         seeds = ratio > 0
-    weight: dict[int, float] = {}
-    total = 0.0
+    held: dict[int, int] = {}  # seeds of each container
     for k in np.flatnonzero(seeds):
-        size, node = float(len(lines[k][0])), lines[k][3]
-        total += size
+        node = lines[k][3]
         while node >= 0:
-            weight[node] = weight.get(node, 0.0) + size
+            held[node] = held.get(node, 0) + 1
             node = page.parents[node]
-    if not weight:
+    if not held:
         return ""
-    # An article is not looked into: its sections belong together.
-    region = max((n for n, w in weight.items() if w >= most * total and not page.within[n]), key=page.depth.__getitem__, default=0)
+    # An article or main is not looked into, but for an article in a main: its sections belong together.
+    region = max((n for n, c in held.items() if c == seeds.sum() and not page.within[n]), key=page.depth.__getitem__, default=0)
 
     def within(node: int) -> bool:
         while node > region:

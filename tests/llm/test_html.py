@@ -38,6 +38,20 @@ def test_odd_pages(page, text):
     assert found == text or page == "<<<>>> <p" and found.startswith("<<<>>>")
 
 
+LONG, SHORT = "long text " * 100, "short text " * 20
+
+
+@pytest.mark.parametrize("page, texts", [
+    (f"<body><div><p>{SHORT}</p><div><p>{LONG}</p></div></div></body>", [SHORT, LONG]),
+    (f"<body><main><h1>Title</h1><section><p>{LONG}</p></section><section><p>Brief.</p></section></main></body>", ["Title", LONG, "Brief."]),
+    (f"<body><p>{SHORT}</p><table><tr><td>{LONG}</td><td>{LONG}</td></tr></table><p>{SHORT}</p></body>", [SHORT, LONG, LONG, SHORT]),
+    (f"<main><article><p>{LONG}</p></article><section><a href=x>More</a></section></main>", [LONG]),
+    (f"<body><div class=menu>{LONG}</div><div><p>{LONG}</p></div><div><p>{SHORT}</p></div></body>", [LONG, SHORT]),
+])
+def test_pages_without_one_article_keep_all_clusters(page, texts):
+    assert main_text(page).split("\n\n") == [x.strip() for x in texts]
+
+
 def article(page):
     body = re.sub("<br>", " ", re.search("<article>(.*?)</article>", page, re.S)[1])
     blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body)]
