@@ -34,6 +34,7 @@ HIDDEN = set(
     "script style noscript template head title svg math canvas iframe object audio video select option textarea button "
     "datalist map".split()
 )
+IN_HEAD = set("html head base basefont bgsound link meta title style script noscript template".split())
 BOILERPLATE = set("nav aside footer form menu dialog search fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 CLOSES_P = BLOCKS - {"html", "body", "caption", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "li"}
@@ -70,6 +71,7 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
+        self.close_head(tag)
         if tag in VOID:
             if tag == "hr":
                 self.close_p()
@@ -120,6 +122,8 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.hidden and data.strip():
+            self.close_head("")
         if not self.hidden:
             self.held.append(data)
             if self.links:
@@ -134,6 +138,18 @@ class Lines(HTMLParser):
     def inside(self, tag: str) -> bool:
         return any(x[0] == tag for x in self.stack)
 
+    def close_head(self, tag: str) -> None:
+        """The end of a head may be left out: what cannot stand in it, or text, ends it, and a body always."""
+        if not self.hidden or tag in IN_HEAD:
+            return
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] == "head":
+                self.cut()
+                self.drop(k)
+                return
+            if tag != "body":
+                return
+
     def close_p(self) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == "p":

@@ -52,6 +52,17 @@ def test_pages_without_one_article_keep_all_clusters(page, texts):
     assert main_text(page).split("\n\n") == [x.strip() for x in texts]
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><article><p>Text of it.</article>", "Text of it."), ("<head><title>T</title><p>a<p>b", "a\n\nb"),
+    ("<html><head><meta charset=utf-8><link href=x><script>var x;</script><style>p{}</style><div>in body</div>", "in body"),
+    ("<head><title>T</title> \n bare words", "bare words"), ("<head><noscript><body><p>a", "a"), ("<head><title>T</title><img src=x>a<br>b", "a b"),
+    ("<head><noscript><p>off</p></noscript></head><body><p>on", "on"), ("<head><template><div>off</div></template></head><p>on", "on"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"), ("<dl><dt>a<dd>b<dt>c<dd>d</dl><ul><li>e<li>f</ul>", "a\n\nb\n\nc\n\nd\n\ne\n\nf"),
+])
+def test_omitted_end_tags(page, text):
+    assert main_text(page) == text
+
+
 def article(page):
     body = re.sub("<br>", " ", re.search("<article>(.*?)</article>", page, re.S)[1])
     blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body)]
