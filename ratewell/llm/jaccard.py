@@ -33,6 +33,8 @@ from ratewell.staging import stage
 COUNTERS = 20  # as a power of two
 BLOCK = 14
 PARITIES = 1024  # bits of a class's signature
+SEVERAL = 64  # classes of an n-gram up to which all are compared without regard to size
+EXACT = 128  # sizes below have a band each
 MEMBERS = 26  # bits of the table that says which classes are asked for
 
 
@@ -214,6 +216,49 @@ def may_link(na: str, pa_: str, nb: str, pb: str, percent: int) -> Column:
     )
 
 
+def band(n: Column) -> Column:
+    """Ranges of sizes, in order: one for each below ``EXACT``, from there about 64 for a factor of e."""
+    return F.when(n < EXACT, n).otherwise(F.floor(F.log(n / EXACT) * 64) + EXACT).cast("long")
+
+
+def by_size(posted: DataFrame, percent: int, longer: bool) -> DataFrame:
+    """``posted`` once for each pair of bands (high, low) in which it can be the longer, or the shorter, of a linking pair.
+
+    A set that has an n-gram at ``pos`` as the first that both have, links with no set larger than ``reach``.
+    """
+    reach = f"((100 + {percent}) * (n - pos)) div {percent} - n"
+    if longer:
+        some = posted.withColumn("from", F.expr(f"({percent} * n + 99) div 100")).withColumn("to", F.expr(f"least(n, {reach})"))
+    else:
+        some = posted.withColumn("from", F.col("n")).withColumn("to", F.expr(f"least((100 * n) div {percent}, {reach})"))
+    own, other = ("high", "low") if longer else ("low", "high")
+    bands = F.explode(F.sequence(band(F.col("from")), band(F.col("to")))).alias(other)
+    return some.where(F.col("from") <= F.col("to")).select("gram", "pos", "class", "n", "root", band(F.col("n")).alias(own), bands)
+
+
+def crossed_pairs(parted: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, na, b, nb) of classes with an n-gram and different roots, from (gram, pos, class, n, root, main, holders).
+
+    Members of the component that holds the first one are not paired among themselves.  Where many
+    classes hold an n-gram, only those meet whose sizes and positions let them link, up to the width
+    of a band: classes that share one passage and are too unlike for their sizes don't meet at all.
+    """
+    names = ("pos", "class", "n", "root")
+    renamed = lambda rows, *keys: rows.select(*keys, *[F.col(c).alias(f"{c}_") for c in names])
+    right = may_link("n_", "pos_", "n", "pos", percent)
+    few, many = parted.where(F.col("holders") <= SEVERAL), parted.where(F.col("holders") > SEVERAL)
+    pairs = renamed(few.where("root <> main"), "gram").join(few, "gram").where("root <> root_").where(right).select(*names, "class_", "n_")
+    bands = ("gram", "high", "low")
+    for longer, shorter in ((many.where("root <> main"), many), (many.where("root = main"), many.where("root <> main"))):
+        met = renamed(by_size(longer, percent, True), *bands).join(by_size(shorter, percent, False), list(bands))
+        met = met.where("root <> root_ and (n_ > n or n_ = n and class_ < class)").where(right)
+        pairs = pairs.union(met.select(*names, "class_", "n_"))
+    return pairs.select(
+        F.least("class", "class_").alias("a"), F.when(F.expr("class < class_"), F.col("n")).otherwise(F.col("n_")).alias("na"),
+        F.greatest("class", "class_").alias("b"), F.when(F.expr("class < class_"), F.col("n_")).otherwise(F.col("n")).alias("nb"),
+    ).distinct()
+
+
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragments: int = 16) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -241,16 +286,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     named = posted.join(roots, posted["class"] == roots["node"], "left")
     named = stage(named.select("gram", "pos", "class", "n", F.coalesce("root", "class").alias("root")))
     parted = named.groupBy("gram").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", F.struct("pos", "class")).alias("main")
+        F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", F.struct("pos", "class")).alias("main"),
+        F.count("*").alias("holders"),
     )
-    parted = named.join(parted.where("low < high").select("gram", "main"), "gram")
-    # Members of the component that holds the first one are not paired among themselves.
-    other = parted.where("root <> main").select("gram", *[F.col(c).alias(f"{c}_") for c in ("pos", "class", "n", "root")])
-    crossed = other.join(parted, "gram").where("root <> root_").where(may_link("n_", "pos_", "n", "pos", percent))
-    crossed = crossed.select(
-        F.least("class", "class_").alias("a"), F.when(F.expr("class < class_"), F.col("n")).otherwise(F.col("n_")).alias("na"),
-        F.greatest("class", "class_").alias("b"), F.when(F.expr("class < class_"), F.col("n_")).otherwise(F.col("n")).alias("nb"),
-    ).distinct()
+    parted = named.join(parted.where("low < high").select("gram", "main", "holders"), "gram")
+    crossed = crossed_pairs(parted, percent)
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     crossed = stage(close_pairs(crossed.join(done, ["a", "b"], "left_anti"), rows, percent))
     if not crossed.isEmpty():

@@ -3,6 +3,7 @@ import random
 import pytest
 from rows import awkward, documents, near_copies, words
 
+from ratewell.llm import jaccard
 from ratewell.llm.components import connected
 from ratewell.llm.jaccard import close_pairs, global_order, heads, jaccard_components, linked_pairs, wanted_segments
 
@@ -91,6 +92,42 @@ def test_copies_bring_their_segments_once(spark):
     assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
 
 
+def test_classes_with_one_passage_that_cannot_link_do_not_meet(spark):
+    # 17 shared n-grams after 3 own: 17 / 23 is below the threshold.
+    rows = [(1, 3, k, 20, k, 0, 500) for k in range(500)]
+    posted = spark.createDataFrame(rows, "gram long, pos int, class long, n long, root long, main long, holders long")
+    keys = ["gram", "high", "low"]
+    assert jaccard.by_size(posted, 85, True).join(jaccard.by_size(posted, 85, False), keys).count() == 0
+
+
+def test_pairs_by_size_are_those_of_all(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for k in range(300):
+        n = rng.choice([rng.randint(1, 40), rng.randint(110, 150), rng.randint(900, 1100)])
+        rows.append((k % 2, rng.randint(0, n - -(-85 * n // 100)), k, n, rng.randint(0, 60), 7, 150))
+    posted = spark.createDataFrame(rows, "gram long, pos int, class long, n long, root long, main long, holders long")
+    need = lambda n, m: -(-85 * (n + m) // 185)
+    expected = {
+        (x[2], x[3], y[2], y[3]) for x in rows for y in rows
+        if x[2] < y[2] and x[0] == y[0] and x[4] != y[4] and 100 * min(x[3], y[3]) >= 85 * max(x[3], y[3])
+        and x[3] - x[1] >= need(x[3], y[3]) <= y[3] - y[1]
+    }
+    for several in (1, 1000):
+        monkeypatch.setattr(jaccard, "SEVERAL", several)
+        found = [tuple(r) for r in jaccard.crossed_pairs(posted, 85).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected and expected
+
+
+def test_components_where_all_pairs_go_by_size(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SEVERAL", 1)
+    rng = random.Random(4)
+    passage = words(rng, 30, 3000)
+    rows = [(k, " ".join([*words(rng, rng.randint(0, 6), 3000), *passage])) for k in range(60)]
+    rows += [(100 + k, " ".join(w)) for k, w in enumerate(near_copies(rng, words(rng, 200, 3000), 30, 9))]
+    assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
+
+
 def test_empty_table(spark):
     assert jaccard_components(documents(spark, [])).collect() == []
 
