@@ -51,17 +51,21 @@ def plan_bins(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, in
     while lengths:
         longest = lengths[-1]
         mate = bisect_left(lengths, capacity - longest + 1) - 1
+        if mate >= 0 and lengths[mate] == longest and left[longest] == 1:
+            mate -= 1  # not its own mate; an odd one takes the next shorter
         if mate < 0:
             n = left[longest]
             put(longest, n, bins, 1, 0)
             free(capacity - longest, bins, n)
             bins += n
         elif lengths[mate] == longest:
-            n = left[longest]
+            n = left[longest] - left[longest] % 2
             put(longest, n, bins, 2, 0)
             free(capacity - 2 * longest, bins, n // 2)
-            free(capacity - longest, bins + n // 2, n % 2)
-            bins += n - n // 2
+            bins += n // 2
+            left[longest] -= n
+            if left[longest]:
+                continue
         else:
             other = lengths[mate]
             n = min(left[longest], left[other])

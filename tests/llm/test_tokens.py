@@ -69,6 +69,21 @@ def test_plans_are_gapless_and_pair_large_items():
             assert sum(3 * length > capacity for _, length in some) <= 2
 
 
+def test_large_pieces_take_the_fewest_bins():
+    def least(some, capacity):
+        if not some:
+            return 0
+        first, rest = some[0], some[1:]
+        fits = [k for k, n in enumerate(rest) if first + n <= capacity]
+        return 1 + min([least(rest, capacity)] + [least(rest[:k] + rest[k + 1 :], capacity) for k in fits])
+
+    assert plan_bins({2000: 1, 1500: 1}, 4096)[1] == 1
+    rng = random.Random(6)
+    for _ in range(150):
+        some = [rng.randint(34, 60) for _ in range(rng.randint(1, 7))]
+        assert plan_bins({n: some.count(n) for n in some}, 100)[1] == least(some, 100)
+
+
 def test_plan_is_near_the_least():
     rng = random.Random(4)
     counts = {}
