@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.llm.common import batch_of, crc_of_id, fresh_name
-from ratewell.llm.words import in_slices, mix, span_hashes, words_of
+from ratewell.llm.words import in_slices, mix, runs, span_hashes, words_of
 
 GRAMS = (3, 4)
 SAME, NEW = np.uint64(0x5A4E), np.uint64(0x4E57)
@@ -45,12 +45,12 @@ def features_of(column: pa.Array, buckets: int) -> Features:
     at = np.concatenate([[0], np.cumsum(size)])
     data = np.full(at[-1], ord(">"), np.uint8)
     data[at[:-1]] = ord("<")
-    inner = np.repeat(low - at[:-1] - 1, size - 2) + _runs(at[:-1] + 1, size - 2)
-    data[_runs(at[:-1] + 1, size - 2)] = found.data[inner]
+    inner = np.repeat(low - at[:-1] - 1, size - 2) + runs(at[:-1] + 1, size - 2)
+    data[runs(at[:-1] + 1, size - 2)] = found.data[inner]
     owner, buck = [np.arange(len(hashes))], [hashes & mask]
     for n in GRAMS:
         many = np.maximum(size - n + 1, 0)
-        start = _runs(at[:-1], many)
+        start = runs(at[:-1], many)
         owner.append(np.repeat(np.arange(len(hashes)), many))
         buck.append(mix(span_hashes(data, start, start + n) + np.uint64(n)) & mask)
     owner, buck = np.concatenate(owner), np.concatenate(buck).astype(np.int64)
@@ -65,12 +65,6 @@ def features_of(column: pa.Array, buckets: int) -> Features:
     return Features(buck[order], first, which, pairs.astype(np.int64), repeats.astype(np.int64), found.first, begins)
 
 
-def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """start[k], start[k] + 1, ... (count[k] numbers) for each k, one after the other."""
-    total = np.concatenate([[0], np.cumsum(count)])
-    return np.repeat(start - total[:-1], count) + np.arange(total[-1])
-
-
 def logits(found: Features, weights: np.ndarray, bias: float) -> np.ndarray:
     """The score of each text before the softmax: the mean weight of its features, and the bias."""
     of_word = np.add.reduceat(np.append(weights[found.words], 0.0), found.first[:-1]) if len(found.first) > 1 else np.empty(0)
@@ -94,7 +88,7 @@ def train(texts: pa.Array, labels: np.ndarray, buckets: int = 1 << 17, width: in
         found = features_of(texts[at : at + 256], buckets)
         for a, b in zip(found.bounds[:-1], found.bounds[1:]):
             w = found.which[a:b]
-            own = found.words[_runs(found.first[w], found.first[w + 1] - found.first[w])]
+            own = found.words[runs(found.first[w], found.first[w + 1] - found.first[w])]
             rest = slice(a + 1, b) if b > a else slice(a, a)
             every = np.concatenate([own, found.pairs[rest], found.repeats[rest]])
             index, count = np.unique(every, return_counts=True)

@@ -3,6 +3,8 @@
 A text is cut where the tokenizer cuts it in any case, so the ids of the pieces, one after the other,
 are those of the whole.  ``words``: at white space, for a tokenizer that drops it.  ``spaced``: before a
 space or line end that a visible character follows, for byte-level ones, where it begins a new piece.
+A text that may hold the string of a special token is encoded whole, since such a string parts a text
+before the tokenizer does.
 """
 
 from __future__ import annotations
@@ -14,23 +16,29 @@ import numpy as np
 import pyarrow as pa
 
 from ratewell.llm.common import kept_by_worker
-from ratewell.llm.words import Words, spaced_pieces, words_of
+from ratewell.llm.words import Words, spaced_pieces, text_bytes, words_of
 
 
-def encoder(path: str, cut: str) -> Encoder:
+def encoder(path: str, cut: str, special: bool = True) -> Encoder:
     """The encoder of this worker, with the pieces it knows from earlier tasks."""
-    return kept_by_worker(("encoder", path, cut), lambda: Encoder(path, cut))
+    return kept_by_worker(("encoder", path, cut, special), lambda: Encoder(path, cut, special=special))
 
 
 class Encoder:
-    """Ids of texts as unsigned 32-bit numbers; keeps the ids of at most ``keep`` pieces and a batch."""
+    """Ids of texts as unsigned 32-bit numbers; keeps the ids of at most ``keep`` pieces and a batch.
 
-    def __init__(self, path: str, cut: str, keep: int = 1_500_000):
+    The ids are those of ``encode(text, add_special_tokens=False)``: the string of a special token in a
+    text is that token.  Without ``special`` it is ordinary text.
+    """
+
+    def __init__(self, path: str, cut: str, keep: int = 1_500_000, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
+        strings = {t.content[:2].encode() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.marks = strings if special else set()
         self.cut, self.keep = cut, keep
         self.forget()
 
@@ -56,6 +64,22 @@ class Encoder:
 
     def encode(self, column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
         """The ids of every text of a column; null counts as empty."""
+        raw, bounds = text_bytes(column)
+        raw, whole = raw.tobytes(), set()
+        for mark in self.marks:  # texts with the first two bytes of a special token's string
+            at = raw.find(mark)
+            while at >= 0:
+                row = int(np.searchsorted(bounds, at, "right")) - 1
+                whole.add(row)
+                at = raw.find(mark, int(bounds[row + 1]))
+        ids = self.by_pieces(column)
+        for row in whole:
+            text = raw[bounds[row] : bounds[row + 1]].decode()
+            ids[row] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return ids
+
+    def by_pieces(self, column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+        """The ids of every text, from those of its pieces."""
         found = words_of(column, lower=False) if self.cut == "words" else spaced_pieces(column)
         hashes, where, which = np.unique(found.hashes, return_index=True, return_inverse=True)
         if len(self.known) > self.keep:

@@ -1,8 +1,9 @@
 """Words of whole text columns as hashed arrays, without a Python loop over words.
 
 A word is a maximal run of bytes other than space and ``\\x09``-``\\x0d``; A-Z are lower-cased first
-where asked.  A word is hashed as a polynomial over random byte values modulo 2**64, taken as a
-difference of running sums, then mixed by a bijection.
+where asked.  Its hash is the sum of random byte values times random odd numbers of their places, taken
+as a difference of running sums, then mixed by a bijection.  The places' numbers are no powers of a base:
+long words in the order of Thue and Morse would collide under any base modulo 2**64.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ _VISIBLE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_ODD = [np.empty(0, np.uint64)]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,10 +84,43 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw, bounds - low
 
 
+def _odd_numbers(n: int) -> np.ndarray:
+    """At least n fixed random odd numbers, kept between calls; the i-th is the same however many are asked for."""
+    if len(_ODD[0]) < n:
+        with np.errstate(over="ignore"):
+            _ODD[0] = mix(np.arange(1, n + (n >> 2) + 64, dtype=np.uint64) * _BASE) | np.uint64(1)
+    return _ODD[0]
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each run of bytes data[start:end]; the runs ascend and don't overlap.
+
+    Made for about ``CHUNK`` bytes at a time, so it takes little memory.
+    """
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        upto = max(at + 1, int(np.searchsorted(start, start[at] + CHUNK)))
+        low, high = int(start[at]), int(end[upto - 1])
+        size = end[at:upto] - start[at:upto]
+        # Where each byte stands in its run; bytes between runs count on from the run before.
+        gaps = np.append(start[at + 1 : upto], high) - start[at:upto]
+        longest = int(size.max())
+        place = np.minimum(np.arange(high - low) - np.repeat(start[at:upto] - low, gaps), longest)
+        odd = _odd_numbers(longest + 1)
+        total = np.zeros(high - low + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(_BYTE[data[low:high]] * odd[place], out=total[1:])
+            out[at:upto] = mix(total[end[at:upto] - low] - total[start[at:upto] - low] + size.astype(np.uint64))
+        at = upto
+    return out
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The hash of each run of bytes data[start:end]; starts and ends ascend.
+    """The hash of each short run of bytes data[start:end], such as the n-grams of a word, which may overlap.
 
-    Running sums are made for about ``CHUNK`` bytes at a time, so they take little memory.
+    Starts and ends ascend.  A polynomial over random byte values modulo 2**64 as a difference of running
+    sums, made for about ``CHUNK`` bytes at a time.
     """
     out = np.empty(len(start), np.uint64)
     at = 0
@@ -102,11 +137,17 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return out
 
 
-def spaced_pieces(column: pa.Array | pa.ChunkedArray) -> Words:
+def runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[k], start[k] + 1, ... (count[k] numbers) for each k, one after the other."""
+    total = np.concatenate([[0], np.cumsum(count)])
+    return np.repeat(start - total[:-1], count) + np.arange(total[-1])
+
+
+def spaced_pieces(column: pa.Array | pa.ChunkedArray, spaces_together: bool = False) -> Words:
     """Every text cut before each space or line end that a visible character follows.
 
     Nothing is dropped.  No cut is made before the first bytes of characters that may be white space
-    beyond ASCII.
+    beyond ASCII, nor, with ``spaces_together``, after a space.
     """
     raw, bounds = text_bytes(column)
     n = len(raw)
@@ -115,12 +156,14 @@ def spaced_pieces(column: pa.Array | pa.ChunkedArray) -> Words:
         return Words(np.empty(0, np.uint64), np.zeros(len(bounds), np.int64), raw, none, none)
     begins = np.zeros(n, bool)
     begins[:-1] = ((raw[:-1] == 0x20) | (raw[:-1] == 0x0A)) & _VISIBLE[raw[1:]]
+    if spaces_together:
+        begins[1:] &= raw[:-1] != 0x20
     filled = bounds[:-1] < bounds[1:]
     begins[bounds[1:][filled] - 1] = False  # what follows is another text
     begins[bounds[:-1][filled]] = True
     start = np.flatnonzero(begins)
     end = np.append(start[1:], n)
-    return Words(span_hashes(raw, start, end), np.searchsorted(start, bounds), raw, start, end)
+    return Words(word_hashes(raw, start, end), np.searchsorted(start, bounds), raw, start, end)
 
 
 def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = True, marks: bool = True) -> Words:
@@ -142,7 +185,7 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = True, marks: bool
     ends[cuts - 1] = word[cuts - 1]
     start = np.flatnonzero(begins)
     end = np.flatnonzero(ends) + 1
-    hashes = span_hashes(data, start, end)
+    hashes = word_hashes(data, start, end)
     first = np.searchsorted(start, bounds)
     return Words(hashes, first, data, start, end)
 

@@ -12,6 +12,7 @@ from ratewell.llm.packing import pack_pieces, plan_bins, token_pieces
 from ratewell.llm.queries import BYTE_BPE, WORD_BPE
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
 from ratewell.llm.tokens import Encoder
+from ratewell.llm.words import words_of
 
 ODD = [
     "", " ", "  a  b ", "a\n\n b", "a\x1c b \x85 c  d", "it's 's <|endoftext|> x", "é ́a", "  x\ty", "İI ΑΣ ", "12３ 4",
@@ -23,7 +24,6 @@ def plain(path, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [np.array(x.ids, "<u4") for x in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -39,6 +39,31 @@ def test_pieces_give_the_ids_of_the_whole(path, cut, keep):
         assert a.tolist() == b.tolist(), repr(text)
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 8192])
+def test_long_words_in_the_order_of_thue_and_morse_differ(size):
+    word = thue_morse(size)
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = words_of(pa.array([f"{word} {other}"])).hashes
+    assert found[0] != found[1]
+    for path, cut in ((BYTE_BPE, "spaced"), (WORD_BPE, "words")):
+        texts = [word, f"x {other}", f"y {word}"]
+        assert [a.tolist() for a in Encoder(path, cut).encode(pa.array(texts))] == [b.tolist() for b in plain(path, texts)]
+
+
+def test_a_word_has_one_hash_wherever_it_stands():
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 30))) for _ in range(60)]
+    texts = [" " * rng.randint(0, 9) + "  ".join(rng.sample(words, 20)) for _ in range(200)]
+    found, seen = words_of(pa.array(texts)), {}
+    for s, e, h in zip(found.start, found.end, found.hashes):
+        assert seen.setdefault(found.data[s:e].tobytes(), h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
 def placed(counts, capacity):
     """Every piece of a plan: bin -> (offset, length)."""
     runs, bins = plan_bins(counts, capacity)
