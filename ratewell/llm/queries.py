@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.llm import sql
+from ratewell.llm.alignment import align_tokens
 from ratewell.llm.backoff import score_texts
 from ratewell.llm.common import crc_of_id, table
 from ratewell.llm.html_text import extract_text
@@ -22,6 +23,7 @@ from ratewell.llm.token_files import read_token_files, with_starts, write_token_
 from ratewell.llm.topk import search
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -81,11 +83,16 @@ def op10_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_greedy_string_tiling, op2_no_random_access_topk, op3_owner_frequency_secrets, op4_html_main_text, op5_prefix_sum_shards, op6_backoff_automaton,
         op7_vertical_jaccard_join, op8_subword_classifier, op9_large_item_packing, op10_seekable_token_files,
+        op11_shared_cut_alignment,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op2_no_random_access_topk": sql.OP2, "op3_owner_frequency_secrets": sql.OP3, "op7_vertical_jaccard_join": sql.OP7}
