@@ -18,6 +18,7 @@ from ratewell.llm.packing import pack_pieces, token_pieces
 from ratewell.llm.quality import score_quality
 from ratewell.llm.secret_scan import scan_secrets, written
 from ratewell.llm.sharding import shard_by_bytes
+from ratewell.llm.spelling import spelling_variants
 from ratewell.llm.tiling import find_leaks
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
 from ratewell.llm.topk import search
@@ -87,12 +88,16 @@ def op11_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
 
+def op12_bloom_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), least=7, every=31, times=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_greedy_string_tiling, op2_no_random_access_topk, op3_owner_frequency_secrets, op4_html_main_text, op5_prefix_sum_shards, op6_backoff_automaton,
         op7_vertical_jaccard_join, op8_subword_classifier, op9_large_item_packing, op10_seekable_token_files,
-        op11_shared_cut_alignment,
+        op11_shared_cut_alignment, op12_bloom_spelling_variants,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op2_no_random_access_topk": sql.OP2, "op3_owner_frequency_secrets": sql.OP3, "op7_vertical_jaccard_join": sql.OP7}
