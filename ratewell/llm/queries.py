@@ -22,6 +22,7 @@ from ratewell.llm.spelling import spelling_variants
 from ratewell.llm.tiling import find_leaks
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
 from ratewell.llm.topk import search
+from ratewell.llm.toxicity import score_toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -92,12 +93,21 @@ def op12_bloom_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), least=7, every=31, times=10)
 
 
+def op13_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), label="toxic")
+    return scored.select(
+        "doc_id", (crc_of_id(F.col("doc_id")) % 3 == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_greedy_string_tiling, op2_no_random_access_topk, op3_owner_frequency_secrets, op4_html_main_text, op5_prefix_sum_shards, op6_backoff_automaton,
         op7_vertical_jaccard_join, op8_subword_classifier, op9_large_item_packing, op10_seekable_token_files,
-        op11_shared_cut_alignment, op12_bloom_spelling_variants,
+        op11_shared_cut_alignment, op12_bloom_spelling_variants, op13_boosted_toxicity,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op2_no_random_access_topk": sql.OP2, "op3_owner_frequency_secrets": sql.OP3, "op7_vertical_jaccard_join": sql.OP7}
