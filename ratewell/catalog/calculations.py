@@ -10,8 +10,8 @@ from ratewell.catalog.registry import FACT_SPEC, TIDY_SPEC, query
 from ratewell.catalog.tables import AS_OF, LOADED, Tables
 from ratewell.operators import complete, lookup, pooling, standardise
 from ratewell.plans import calculate, quality
-from ratewell.schema import DASR_KEYS, TIDY_SCHEMA
-from ratewell.staging import stage
+from ratewell.schema import DASR_KEYS, FACT_SCHEMA, TIDY_COLS, TIDY_SCHEMA
+from ratewell.staging import stage, stage_counted
 
 
 def _enriched(t: Tables) -> DataFrame:
@@ -439,7 +439,10 @@ def skip_reasons(t):
 # quality ------------------------------------------------------------------------------------
 # Processed facts that never divide by zero, plus values left out on purpose.
 _CHECKED = (
-    "SELECT * REPLACE (CASE WHEN aggregation_id = 7 THEN NULL ELSE lower_ci95 END AS lower_ci95) FROM combined"
+    "SELECT * REPLACE (CASE WHEN aggregation_id = 7 THEN NULL ELSE lower_ci95 END AS lower_ci95, "
+    "CASE WHEN aggregation_id = 7 THEN 0 ELSE age_group_code END AS age_group_code, "
+    "CASE WHEN aggregation_id = 7 THEN NULL ELSE combination_id END AS combination_id, "
+    "CASE WHEN aggregation_id = 7 THEN NULL ELSE time_period_type END AS time_period_type) FROM combined"
 )
 
 
@@ -448,9 +451,16 @@ def _published(t: Tables) -> DataFrame:
     return stage(_result(t).combined, TIDY_SCHEMA)
 
 
+def _with_faults(published: DataFrame) -> DataFrame:
+    """The published rows, those of one area with values left out and another age code."""
+    faulty = F.coalesce(F.col("aggregation_id") == 7, F.lit(False))
+    faults = {c: F.when(~faulty, F.col(c)) for c in ("lower_ci95", "combination_id", "time_period_type")}
+    faults["age_group_code"] = F.when(faulty, F.lit(0)).otherwise(F.col("age_group_code"))
+    return published.withColumns(faults).select(published.columns)
+
+
 def _checked(t: Tables) -> DataFrame:
-    low = F.when(F.col("aggregation_id") == 7, None).otherwise(F.col("lower_ci95"))
-    return _published(t).withColumn("lower_ci95", low)
+    return _with_faults(_published(t))
 
 
 @query(
@@ -481,21 +491,23 @@ def check_missing_columns(t):
 
 @query(
     "indicator_id:i count:i",
-    "SELECT indicator_id, count(*) AS count FROM (SELECT DISTINCT indicator_id, age_group_code FROM facts "
+    "SELECT indicator_id, count(*) AS count FROM (SELECT DISTINCT indicator_id, age_group_code FROM checked "
     "WHERE value_type_code = 4) GROUP BY indicator_id HAVING count(*) > 1",
-    "facts",
+    "combined",
+    checked=_CHECKED,
 )
 def check_age_codes(t):
-    return quality.check_age_group_code(t.facts())
+    return quality.check_age_group_code(_checked(t))
 
 
 @query(
     "indicator_id:i start_date:d end_date:d",
-    "SELECT DISTINCT indicator_id, start_date, end_date FROM labelled WHERE time_period_type IS NULL",
-    "labelled",
+    "SELECT DISTINCT indicator_id, start_date, end_date FROM checked WHERE time_period_type IS NULL",
+    "combined",
+    checked=_CHECKED,
 )
 def check_period_labels(t):
-    return quality.check_time_period(calculate.prepare(t.facts()))
+    return quality.check_time_period(_checked(t))
 
 
 @query(
@@ -509,9 +521,9 @@ def check_active_values(t):
     return quality.check_active_values(_checked(t), t.metadata())
 
 
-@query(TIDY_SPEC, "SELECT * FROM labelled WHERE combination_id IS NULL", "labelled")
+@query(TIDY_SPEC, "SELECT * FROM checked WHERE combination_id IS NULL", "combined", checked=_CHECKED)
 def check_combinations(t):
-    return quality.check_combination(calculate.prepare(t.facts()))
+    return quality.check_combination(_checked(t))
 
 
 @query(
@@ -542,4 +554,29 @@ def check_duplicates(t):
     checked=_CHECKED,
 )
 def all_checks(t):
-    return quality.run_all_checks(_checked(t), t.facts(), t.metadata())
+    landed, rows = stage_counted(t.facts(), FACT_SCHEMA)
+    result = calculate.calculate_values(landed, t.metadata(), t.ages(), AS_OF)
+    return quality.run_all_checks(_with_faults(stage(result.combined, TIDY_SCHEMA)), rows, t.metadata())
+
+
+_ORDER = ", ".join(f"{c} NULLS FIRST" for c in TIDY_COLS)
+_FAILING = {
+    (2, "missing columns"): f"denominator <> 0 AND ({_MISSING}) AND {_ACTIVE} AND precalculated = 'No')",
+    (4, "time period"): "time_period_type IS NULL",
+    (5, "active values"): f"denominator <> 0 AND (indicator_value IS NULL OR lower_ci95 IS NULL OR upper_ci95 IS NULL) AND {_ACTIVE})",
+    (6, "combination"): "combination_id IS NULL",
+}
+
+
+@query(
+    "check_id:i check_name:t nth:i " + TIDY_SPEC,
+    " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {i} AS check_id, '{name}' AS check_name, row_number() OVER (ORDER BY {_ORDER}) AS nth, * "
+        f"FROM checked WHERE {failing}) WHERE nth <= 10"
+        for (i, name), failing in _FAILING.items()
+    ),
+    "combined metadata",
+    checked=_CHECKED,
+)
+def failing_rows(t):
+    return quality.failing_rows(_checked(t), t.metadata(), show_n=10)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.operators.select import IndicatorIds, select_indicators
@@ -100,50 +100,84 @@ def check_duplicates(
     return counted.filter("row_count > 1")
 
 
-def run_all_checks(
-    df: DataFrame, reference: DataFrame, metadata: DataFrame, cols: list[str] | None = None
-) -> DataFrame:
-    """One row per check: failures found, and whether it passed.
-
-    Every check that counts rows shares one scan; the three that count groups have their own.
-    """
+def _row_checks(df: DataFrame, metadata: DataFrame, cols: list[str] | None) -> tuple[DataFrame, dict[tuple[int, str], Column]]:
+    """``df`` with what the metadata says of its indicators, and the checks that look at one row alone."""
     flags = metadata.groupBy("indicator_id").agg(
         F.bool_or(F.col("status_code") == CODES.active_status).alias("__active"),
         F.bool_or(
             (F.col("status_code") == CODES.active_status) & (F.col("precalculated") == "No")
         ).alias("__checked"),
     )
-    checked = _checked_columns(df, cols, IGNORED)
-    rows = df.join(flags, "indicator_id", "left").agg(
+    missing = _any_null(_checked_columns(df, cols, IGNORED))
+    failing = {
+        (2, "missing columns"): F.col("__checked") & _usable() & missing,
+        (4, "time period"): F.col("time_period_type").isNull(),
+        (5, "active values"): F.col("__active") & _usable() & _any_null(RESULT_COLS),
+        (6, "combination"): F.col("combination_id").isNull(),
+    }
+    return df.join(flags, "indicator_id", "left"), failing
+
+
+def run_all_checks(
+    df: DataFrame, reference: DataFrame | int, metadata: DataFrame, cols: list[str] | None = None
+) -> DataFrame:
+    """One row per check: failures found, and whether it passed.
+
+    ``reference`` is the input or the number of its rows, where writing it has counted them.  All
+    checks share one scan and one aggregation over three sets of keys: the indicator, its period and
+    the keys that must not repeat.
+    """
+    joined, failing = _row_checks(df, metadata, cols)
+    aged = F.col("value_type_code") == CODES.dasr
+    flagged = joined.select(
+        *DUPLICATE_KEYS,
+        *[value.alias(f"__fails_{i}") for (i, _), value in failing.items()],
+        F.when(aged, F.coalesce("age_group_code", F.lit(-1))).alias("__age"),
+    )
+    by_period, by_area = F.grouping("start_date") == 0, F.grouping("aggregation_id") == 0
+    sets = [DUPLICATE_KEYS[:1], ["indicator_id", "start_date", "end_date"], DUPLICATE_KEYS]
+    groups = flagged.groupingSets(sets, *DUPLICATE_KEYS).agg(
+        F.when(by_area, 7).when(by_period, 4).otherwise(3).alias("__set"),
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("__checked") & _usable() & _any_null(checked)).alias("missing"),
-        F.count_if(F.col("__active") & _usable() & _any_null(RESULT_COLS)).alias("values"),
-        F.count_if(F.col("combination_id").isNull()).alias("combination"),
+        *[F.count_if(f"__fails_{i}").alias(f"fails_{i}") for i, _ in failing],
+        (F.min("__age") < F.max("__age")).alias("ages"),
     )
-    counted = reference.agg(F.count(F.lit(1))).scalar()
-    scanned = rows.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("check_id"), F.lit(name).alias("check_name"), value.alias("failures"))
-                    for i, name, value in (
-                        (1, "row counts", F.abs(F.col("n") - counted)),
-                        (2, "missing columns", F.col("missing")),
-                        (5, "active values", F.col("values")),
-                        (6, "combination", F.col("combination")),
-                    )
-                ]
-            )
-        )
+    of = lambda k: F.col("__set") == k
+    found = groups.agg(
+        F.sum(F.when(of(3), F.col("n"))).alias("n"),
+        *[F.sum(F.when(of(3), F.col(f"fails_{i}"))).alias(f"fails_{i}") for i in (2, 5, 6)],
+        F.count_if(of(3) & F.col("ages")).alias("fails_3"),
+        F.count_if(of(4) & (F.col("fails_4") > 0)).alias("fails_4"),
+        F.count_if(of(7) & (F.col("n") > 1)).alias("fails_7"),
     )
-    grouped = [
-        part.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(i).alias("check_id"), F.lit(name).alias("check_name"), "failures"
-        )
-        for i, name, part in (
-            (3, "one age code", check_age_group_code(df)),
-            (4, "time period", check_time_period(df)),
-            (7, "duplicates", check_duplicates(df)),
-        )
+    counted = F.lit(reference) if isinstance(reference, int) else reference.agg(F.count(F.lit(1))).scalar()
+    named = {1: "row counts", 3: "one age code", 7: "duplicates"} | {i: name for i, name in failing}
+    failures = {1: F.abs(F.coalesce("n", F.lit(0)) - counted)} | {
+        i: F.coalesce(f"fails_{i}", F.lit(0)) for i in range(2, 8)
+    }
+    rows = [
+        F.struct(F.lit(i).alias("check_id"), F.lit(named[i]).alias("check_name"), failures[i].cast("long").alias("failures"))
+        for i in range(1, 8)
+    ]
+    return found.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failures") == 0)
+
+
+def failing_rows(
+    df: DataFrame, metadata: DataFrame, show_n: int = 10, cols: list[str] | None = None
+) -> DataFrame:
+    """The first ``show_n`` rows that fail each check of single rows: check_id, check_name, nth, the row.
+
+    Rows are ordered by all their columns, in the order of the table and nulls first, so the same rows are
+    shown however the table is partitioned.  One scan for all checks; no task passes on more than
+    ``show_n`` rows of a check.
+    """
+    joined, failing = _row_checks(df, metadata, cols)
+    fails = [
+        F.when(value, F.struct(F.lit(i).alias("check_id"), F.lit(name).alias("check_name")))
+        for (i, name), value in failing.items()
     ]
-    return union_by_name(scanned, *grouped).withColumn("passed", F.col("failures") == 0)
+    rows = joined.select(F.explode(F.array_compact(F.array(*fails))).alias("__check"), *df.columns)
+    rows = rows.select("__check.check_id", "__check.check_name", *df.columns)
+    order = Window.partitionBy("check_id").orderBy(*[F.asc_nulls_first(c) for c in df.columns])
+    shown = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= show_n)
+    return shown.select("check_id", "check_name", "nth", *df.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,3 +23,10 @@ def stage(df: DataFrame, layout: T.StructType | None = None) -> DataFrame:
         df = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in layout])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, layout: T.StructType | None = None) -> tuple[DataFrame, int]:
+    """``stage``, and how many rows were written, counted as they are."""
+    counted = Observation()
+    written = stage(df.observe(counted, F.count(F.lit(1)).alias("n")), layout)
+    return written, counted.get["n"]
