@@ -219,7 +219,7 @@ class Aligned:
         return [hashlib.sha256(data[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(upto[:-1].tolist(), upto[1:].tolist())]
 
 
-def align_tokens(docs: DataFrame, path_a: str, path_b: str, slice_bytes: int = 8 << 20) -> DataFrame:
+def align_tokens(docs: DataFrame, path_a: str, path_b: str, slice_bytes: int = 3 << 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): how the tokens of two tokenizers lie over its text.
 
     A is a byte-level tokenizer, B one of pieces that puts a space before a text; A is given that space.
