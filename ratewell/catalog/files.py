@@ -7,9 +7,11 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
+from ratewell.catalog.projections import TEXT_FACTS, duck_cast
 from ratewell.catalog.registry import FACT_SPEC, query
 from ratewell.catalog.tables import PRACTICE_EXPRS, Tables, pick, projection
 from ratewell.operators import select, sets
+from ratewell.schema import FACT_COLS
 from ratewell.session import shared_dir
 from ratewell.sources import landing, reference, sinks
 
@@ -98,6 +100,57 @@ def landed_extract(t):
     )
 
 
+_FILED = "o_custkey % 8"
+_SUBMITTED = {c: e for c, e in TEXT_FACTS.items() if c != "file_name"}
+_CASTS = ", ".join(duck_cast(c) for c in FACT_COLS)
+
+
+def _file(spark, df, folder: str, name: str) -> None:
+    """``df`` as one CSV file of that name."""
+    df.coalesce(1).write.csv(f"{folder}/{name}-parts", header=True, escape='"')
+    there = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}-parts")
+    system = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(there, "part-*"))]
+    system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
+def _ingested(t: Tables):
+    """Seven submitted files and one other: short, reordered, quoted, empty, incomplete, refused, unknown."""
+    folder = _folder(t, "templates")
+    orders = pick(t.raw("orders"), {**_SUBMITTED, "filed": _FILED, "status": "o_orderstatus"})
+    notes = F.when(F.col("status") == "F", F.lit('first, "line"\nsecond\n\nlast')).otherwise(F.col("status")).alias("notes")
+    turned = [*reversed(FACT_COLS)]
+    files = {
+        "ID_0.csv": (0, FACT_COLS),
+        "ID_1.csv": (1, [notes, *turned]),
+        "id 2+x.csv": (2, [*FACT_COLS, notes]),
+        "ID_3.csv": (-1, FACT_COLS),
+        "ID_4.csv": (4, [c for c in FACT_COLS if c != "sex_code"]),
+        "ID_5.csv": (5, FACT_COLS),
+        "ID_6.csv": (6, FACT_COLS),
+        "other.csv": (7, FACT_COLS),
+    }
+    for name, (number, columns) in files.items():
+        _file(t.spark, orders.filter(F.col("filed") == number).select(*columns), folder, name)
+    manifest = [("ID_0.csv", "0"), ("ID_1.csv", "0.0"), ("id 2+x.csv", " 0 "), ("ID_3.csv", "0"), ("ID_4.csv", "0"), ("ID_5.csv", "1")]
+    return landing.ingest_templates(t.spark, f"{folder}/*.csv", t.local(manifest, "file_name string, validation_value string"))
+
+
+@query(FACT_SPEC, f"SELECT {_CASTS} FROM submitted WHERE {_FILED} IN (0, 1, 2)", submitted=f"SELECT {projection(_SUBMITTED)}, o_custkey FROM orders")
+def ingested_templates(t):
+    """The rows of the submitted files that count, whatever their columns' order and their quoted line breaks."""
+    return _ingested(t)[0]
+
+
+@query(
+    "file_name:t status:t",
+    "SELECT * FROM (VALUES ('ID_0.csv', 'accepted'), ('ID_1.csv', 'accepted'), ('id 2+x.csv', 'accepted'), ('ID_3.csv', 'accepted'), "
+    "('ID_4.csv', 'failed'), ('ID_5.csv', 'failed'), ('ID_6.csv', 'failed')) v(file_name, status)",
+)
+def ingested_status(t):
+    return _ingested(t)[1]
+
+
 @query(
     "shown:i every:i",
     "SELECT least(count(*), 1000) AS shown, count(*) AS every FROM lineitem",

@@ -24,7 +24,7 @@ from ratewell.sources import landing, sinks
 from ratewell.staging import stage
 
 # sources ------------------------------------------------------------------------------------
-_TEXT_FACTS = {
+TEXT_FACTS = {
     "file_name": "'ID_' || CAST(o_custkey % 40 AS STRING) || '.csv'",
     "indicator_id": case("o_orderkey % 5", {0: "1", 1: "2.9", 2: "bad", 3: ""}, "'3'"),
     "start_date": "CASE WHEN o_orderkey % 9 = 0 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END",
@@ -50,7 +50,7 @@ _INTS = {
 _DUCK_TYPES = {"start_date": "DATE", "end_date": "DATE", "creation_date": "TIMESTAMP"}
 
 
-def _duck_cast(column: str) -> str:
+def duck_cast(column: str) -> str:
     if column in _INTS:
         return f"CAST(trunc(TRY_CAST({column} AS DOUBLE)) AS INT) AS {column}"
     return f"TRY_CAST({column} AS {_DUCK_TYPES.get(column, 'DOUBLE')}) AS {column}"
@@ -61,7 +61,7 @@ _MANIFEST = {
     "validation_value": case("c_custkey % 45 % 5", {0: "0", 1: "0.0", 2: "1", 3: "n/a"}, "NULL"),
 }
 _TEMPLATE_STEPS = {
-    "submitted": f"SELECT {projection(_TEXT_FACTS)} FROM orders",
+    "submitted": f"SELECT {projection(TEXT_FACTS)} FROM orders",
     "manifest": f"SELECT DISTINCT {projection(_MANIFEST)} FROM customer",
     "checked": "SELECT file_name, coalesce(TRY_CAST(validation_value AS DOUBLE) = 0, FALSE) AS ok FROM manifest",
 }
@@ -69,12 +69,12 @@ _TEMPLATE_STEPS = {
 
 def _templates(t: Tables):
     manifest = pick(t.raw("customer"), _MANIFEST).distinct()
-    return landing.accept_templates(pick(t.raw("orders"), _TEXT_FACTS), manifest)
+    return landing.accept_templates(pick(t.raw("orders"), TEXT_FACTS), manifest)
 
 
 @query(
     FACT_SPEC,
-    f"SELECT {', '.join(_duck_cast(c) for c in FACT_COLS)} FROM submitted "
+    f"SELECT {', '.join(duck_cast(c) for c in FACT_COLS)} FROM submitted "
     "WHERE file_name IN (SELECT file_name FROM checked WHERE ok)",
     **_TEMPLATE_STEPS,
 )
@@ -95,12 +95,12 @@ def template_status(t):
 
 @query(
     FACT_SPEC + " time_period_type:t combination_id:i",
-    f"SELECT {', '.join(_duck_cast(c) for c in FACT_COLS)}, NULL AS time_period_type, "
+    f"SELECT {', '.join(duck_cast(c) for c in FACT_COLS)}, NULL AS time_period_type, "
     "CAST(o_orderkey AS VARCHAR) AS combination_id FROM submitted",
-    submitted=f"SELECT {projection(_TEXT_FACTS)}, o_orderkey FROM orders",
+    submitted=f"SELECT {projection(TEXT_FACTS)}, o_orderkey FROM orders",
 )
 def cleaned_types(t):
-    text = {**_TEXT_FACTS, "time_period_type": "CAST(NULL AS STRING)", "combination_id": "CAST(o_orderkey AS STRING)"}
+    text = {**TEXT_FACTS, "time_period_type": "CAST(NULL AS STRING)", "combination_id": "CAST(o_orderkey AS STRING)"}
     return select.clean_types(pick(t.raw("orders"), text))
 
 

@@ -1,6 +1,8 @@
+import random
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratewell.operators.joins import local_table
 from ratewell.schema import FACT_COLS, FACT_SCHEMA
@@ -82,6 +84,42 @@ def test_headers_quotes_and_files_without_rows(spark, tmp_path):
     assert found == [("E1", "1", "two\nlines"), ("E2", "2", 'a "b", c'), ("E3", None, None)]
 
 
+def quoted(rng, newline):
+    """A well-formed CSV text: cells of quotes, commas and line breaks in quotes, blank lines between records."""
+    lines = ["a,b,c"]
+    for _ in range(rng.randint(40, 80)):
+        cells = []
+        for _ in range(3):
+            cell = "".join(rng.choice(['x', 'é', ',', '"', newline, newline * 2, ' ']) for _ in range(rng.randint(0, 6)))
+            plain = not any(c in cell for c in ',"\n\r')
+            cells.append(cell if plain and cell and rng.random() < 0.5 else '"' + cell.replace('"', '""') + '"')
+        lines += [",".join(cells)] + [""] * (rng.random() < 0.1)
+    return newline.join(lines) + newline * rng.randint(0, 2)
+
+
+@pytest.mark.parametrize("block", [300, 1 << 20])
+def test_blocks_of_a_file_give_the_records_of_the_whole(spark, tmp_path, block):
+    rng = random.Random(block)
+    for k in range(4):
+        (tmp_path / f"f{k}.csv").write_bytes(quoted(rng, "\n" if k % 2 else "\r\n").encode())
+    keys = {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        lines = landing.csv_lines(spark, str(tmp_path))
+        rows = landing.read_by_header(lines, landing.csv_headers(lines)).select("a", "b", "c", "file_name")
+        found = sorted(map(repr, rows.collect()))
+        if block < 1000:
+            assert lines.select("file_path", "block").distinct().count() > 12
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    whole = spark.read.schema("a string, b string, c string").options(header=True, multiLine=True, escape='"').csv(str(tmp_path))
+    expected = whole.withColumn("file_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    assert found == sorted(map(repr, expected.collect())) and len(found) > 100
+
+
 def test_jobs_do_not_grow_with_headers(spark, tmp_path):
     for k in range(40):
         folder = tmp_path / ("few" if k < 2 else "many")
@@ -118,7 +156,7 @@ def content(spark, table):
 def published(spark):
     sinks.create_results(results(spark, [(1, "a"), (1, "b"), (2, "c"), (3, "d")]), "published")
     yield "published"
-    spark.sql("DROP TABLE published")
+    sinks.drop_results(spark, "published")
 
 
 def test_replace_some(spark, published):
@@ -143,6 +181,50 @@ def test_replace_what_was_submitted(spark, published):
     ]
 
 
+def test_results_can_come_from_themselves(spark, published):
+    sinks.replace_indicators(spark.table(published).withColumn("v", F.concat("v", F.lit("!"))), published, None)
+    sinks.replace_indicators(spark.table(published).filter("indicator_id = 1"), published, [2])
+    assert content(spark, published) == [(1, "a!"), (1, "a!"), (1, "b!"), (1, "b!"), (3, "d!")]
+
+
+@pytest.mark.parametrize("step", ["_write", "_switch", "_drop_hidden"])
+@pytest.mark.parametrize("late", [False, True])
+def test_a_stopped_run_leaves_the_old_or_the_new_rows(spark, published, monkeypatch, step, late):
+    old, new = content(spark, published), [(1, "new"), (3, "d"), (4, "more")]
+    original = getattr(sinks, step)
+
+    def stopped(*args):
+        if late:
+            original(*args)
+        raise KeyboardInterrupt(step)
+
+    monkeypatch.setattr(sinks, step, stopped)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.replace_indicators(results(spark, [(1, "new"), (4, "more")]), published, [1, 2])
+    monkeypatch.undo()
+    switched = step == "_drop_hidden" or (step == "_switch" and late)
+    assert content(spark, published) == (new if switched else old)
+    sinks.replace_indicators(results(spark, [(1, "new"), (4, "more")]), published, [1, 2, 4])
+    assert content(spark, published) == new
+    assert spark.sql(f"SHOW PARTITIONS {published}_loads").count() == 3
+
+
+def test_a_write_that_fails_half_way_shows_nothing(spark, published):
+    old = content(spark, published)
+    rows = spark.range(100, numPartitions=4).selectExpr(
+        "cast(id % 5 as int) as indicator_id", "case when id = 99 then raise_error('stop') else 'x' end as v"
+    )
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_indicators(rows, published, "all")
+    assert content(spark, published) == old
+
+
+def test_results_show_only_the_partitions_of_an_indicator(spark, published):
+    sinks.replace_indicators(results(spark, [(1, "new")]), published, [1])
+    plan = spark.table(published).filter("indicator_id = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "load_id" in plan.split("PartitionFilters: [")[1]
+
+
 def test_append_and_selection_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "facts")
     row = (1, date(2024, 1, 1), date(2024, 12, 31), 1.0, 2.0, None, None, None, 1, 1, 1, 1, 1, None, 2, 1)
