@@ -1,10 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratewell.llm.topk import search
+from ratewell.llm.topk import best_of, in_question, search
 
 KIND = "vec_id long, embedding array<float>, label int"
 
@@ -34,6 +35,36 @@ def test_against_brute_force(spark, block_rows, query_rows):
     assert sorted(tuple(r) for r in found) == brute(rows, 100, 10)
 
 
+@pytest.mark.parametrize("large", [False, True])
+@pytest.mark.parametrize("n, shape", [(700, "flat"), (700, "steep"), (3000, "steep"), (3000, "ties"), (40, "flat")])
+def test_bounds_keep_every_row_of_the_best(n, shape, large):
+    rng = np.random.default_rng(n)
+    values = rng.integers(-1000, 1000, (n, 6))
+    if shape == "steep":  # few rows decide, so that lists are not read far
+        values[: n // 50] *= 50
+    if shape == "ties":
+        values //= 700
+    if large:
+        values = values * 2**14
+    queries = np.concatenate([values[:7], np.zeros((1, 6), np.int64), rng.integers(-9, 9, (5, 6)) * (2**14 if large else 1)])
+    asked = np.concatenate([np.arange(7), [10**6] * 6])
+    ids, times = np.arange(n), np.ones(n, np.int64)
+    times[3] = 4
+    for (q, rows, score), a, v in zip(best_of(ids, times, values, asked, queries, 10), asked, queries):
+        exact = values @ v
+        every = sorted((-int(exact[i]), int(i)) for i in ids for _ in range(times[i]) if i != a)[:10]
+        assert [(-int(s), int(i)) for i, s in zip(rows, score)] == every and (q == a).all()
+
+
+def test_steep_lists_are_left_early():
+    rng = np.random.default_rng(1)
+    values = rng.integers(-1000, 1000, (4000, 6)).astype(float)
+    values[:40] *= 50
+    ordered, places = np.sort(values, axis=0), np.argsort(np.argsort(values, axis=0, kind="stable"), axis=0, kind="stable")
+    found = in_question(values, ordered, places, np.abs(values[:20]), (np.arange(20), np.arange(20)), 10)
+    assert (found.sum(axis=1) <= 200).sum() >= 8
+
+
 def test_few_rows_and_none(spark):
     rows = [(0, [1.0, 2.0], 1), (1, [3.0, 1.0], 1), (2, [3.0, 1.0], 1)]
     assert sorted(tuple(r) for r in search(spark.createDataFrame(rows, KIND)).collect()) == brute(rows, 100, 10)
