@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,23 +32,20 @@ from ratewell.staging import stage
 
 COUNTERS = 20  # as a power of two
 BLOCK = 14
-PARITIES = 1024  # bits of a class's signature
+WIDTH = 8  # words of 64 bits of a class's signature
+SIGNS = [f"s{k}" for k in range(WIDTH)]
 SEVERAL = 64  # classes of an n-gram up to which all are compared without regard to size
 EXACT = 128  # sizes below have a band each
 MEMBERS = 26  # bits of the table that says which classes are asked for
 
 
-@dataclass(frozen=True)
-class Order:
-    """The global order: ``rank`` of the counter of an n-gram, ``cuts`` where fragments begin."""
+def place(order: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    """Hashes as sorted positions in the global order; a bijection, so equal only if they were.
 
-    rank: np.ndarray
-    cuts: np.ndarray
-
-    def place(self, hashes: np.ndarray) -> np.ndarray:
-        """Hashes as sorted positions in the order; a bijection, so equal only if they were."""
-        shift = np.uint64(64 - COUNTERS)
-        return np.sort(self.rank[hashes >> shift] << shift | hashes & np.uint64((1 << (64 - COUNTERS)) - 1))
+    An order is the rank of each counter of n-grams, and the positions where fragments begin.
+    """
+    shift = np.uint64(64 - COUNTERS)
+    return np.sort(order[0][hashes >> shift] << shift | hashes & np.uint64((1 << (64 - COUNTERS)) - 1))
 
 
 def document_sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -66,7 +63,7 @@ def class_of(hashes: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
-def global_order(docs: DataFrame, size: int, fragments: int) -> Order:
+def global_order(docs: DataFrame, size: int, fragments: int) -> tuple[np.ndarray, np.ndarray]:
     """Counters of all n-grams of all documents, rare first; 2**20 numbers reach the driver."""
     schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
 
@@ -95,39 +92,40 @@ def global_order(docs: DataFrame, size: int, fragments: int) -> Order:
     upto = np.cumsum(load[order])
     shares = upto[-1] * np.arange(1, fragments) / fragments
     cuts = np.searchsorted(upto, shares).astype(np.uint64) << np.uint64(64 - COUNTERS)
-    return Order(rank, cuts)
+    return rank, cuts
 
 
 def heads(docs: DataFrame, order, size: int, percent: int) -> DataFrame:
-    """Per row its set's class, size, signature and head in the global order.
+    """Per row its columns other than the text, its set's class, size and head in the global order, and the signature.
 
-    The signature has a bit for each of ``PARITIES`` buckets of n-grams: whether their number is odd.
+    The signature has a bit for each of 64 * ``WIDTH`` buckets of n-grams: whether their number is odd.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("signature", pa.list_(pa.int64())), ("head", pa.list_(pa.int64()))])
-    width = PARITIES // 64
+    kept = [f for f in docs.schema if f.name != "text"]
+    kind = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "class long, n long, head array<long>", *(f"{c} long" for c in SIGNS)])
+    names = [f.name for f in kept]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranked = order.value
         for batch in in_slices(batches, "text"):
             kinds, sizes, first, odd = [], [], [], []
             for found in document_sets(batch, size):
                 n = len(found)
                 kinds.append(class_of(found))
                 sizes.append(n)
-                buckets = np.bincount((found & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+                buckets = np.bincount((found & np.uint64(64 * WIDTH - 1)).astype(np.int64), minlength=64 * WIDTH)
                 odd.append(np.packbits((buckets & 1).astype(np.uint8)).view(np.int64))
-                first.append(order.value.place(found)[: n - -(-percent * n // 100) + 1].view(np.int64))
+                first.append(place(ranked, found)[: n - -(-percent * n // 100) + 1].view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(f) for f in first])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first), pa.int64()))
-            every = pa.array(np.arange(0, width * len(odd) + 1, width, dtype=np.int32))
-            signs = pa.ListArray.from_arrays(every, pa.array(np.concatenate(odd), pa.int64()))
-            yield batch_of(schema, batch.column("doc_id"), kinds, sizes, signs, lists)
+            signs = [pa.array(np.ascontiguousarray(c)) for c in np.stack(odd).T]
+            columns = [*(batch.column(c) for c in names), pa.array(kinds, pa.int64()), pa.array(sizes, pa.int64()), lists, *signs]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "class", "n", "head", *SIGNS])
 
-    kind = "doc_id long, class long, n long, signature array<long>, head array<long>"
-    return docs.select("doc_id", "text").mapInArrow(cut, kind)
+    return docs.mapInArrow(cut, kind)
 
 
 def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
-    """The sets of the ``wanted`` classes, cut at the fragments: class, fragment, segment; each once.
+    """The sets of the ``wanted`` classes, cut at the fragments: class, fragment, segment; each once, as a written table.
 
     Rows of one class have the same segments: a task cuts those of the first, and of what tasks found
     one stays, so a pair of classes costs no more for having many copies.  Which classes are asked for is a table of 2**26 bits, so its size doesn't grow; a class that only
@@ -159,14 +157,16 @@ def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
                 if not len(found) or kind in done or not members.value[bit >> 3] >> (7 - (bit & 7)) & 1:
                     continue
                 done.add(kind)
-                placed = order.value.place(found)
-                ends = [0, *np.searchsorted(placed, order.value.cuts).tolist(), len(placed)]
+                placed = place(order.value, found)
+                ends = [0, *np.searchsorted(placed, order.value[1]).tolist(), len(placed)]
                 rows += [(kind, k, placed[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
             if rows:
                 yield batch_of(out, *zip(*rows))
 
     found = docs.select("text").mapInArrow(cut, "class long, fragment int, segment binary")
-    return found.join(wanted.select("class").distinct(), "class", "left_semi").dropDuplicates(["class", "fragment"])
+    found = stage(found.join(wanted.select("class").distinct(), "class", "left_semi").dropDuplicates(["class", "fragment"]))
+    members.destroy()
+    return found
 
 
 def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -189,23 +189,21 @@ def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return total.where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
 
 
-def close_pairs(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose signatures differ in no more bits than sets that link may differ in n-grams.
+def alike(percent: int) -> Column:
+    """Whether the signatures of a pair differ in no more bits than sets that link may differ in n-grams.
 
-    An n-gram that one set has more changes one bit, so sets differ in at least as many n-grams as
-    their signatures in bits: nothing that links is lost, and unlike sets are told apart without
-    being sent anywhere.
+    An n-gram that one set has more changes one bit, so sets differ in at least as many n-grams as their
+    signatures in bits: nothing that links is lost, and unlike sets are told apart where they meet,
+    without being sent anywhere.  The other set's columns end in ``_``.
     """
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    signs = rows.where("n > 0").join(wanted, "class", "left_semi").select("class", "signature").dropDuplicates(["class"])
-    left = signs.select(F.col("class").alias("a"), F.col("signature").alias("sa"))
-    right = signs.select(F.col("class").alias("b"), F.col("signature").alias("sb"))
-    bits = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
-    need = F.expr(f"(({percent} * (na + nb) + {99 + percent}) div {100 + percent})")
-    near = pairs.join(left, "a").join(right, "b").where(bits <= F.col("na") + F.col("nb") - 2 * need)
-    return near.select("a", "na", "b", "nb")
+    bits = reduce(lambda a, b: a + b, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in SIGNS])
+    need = F.expr(f"(({percent} * (n + n_) + {99 + percent}) div {100 + percent})")
+    return bits <= F.col("n") + F.col("n_") - 2 * need
+
+
+def renamed(rows: DataFrame, *keys: str) -> DataFrame:
+    """The columns of the other side of a pair, all but the keys."""
+    return rows.select(*keys, *[F.col(c).alias(f"{c}_") for c in rows.columns if c not in keys])
 
 
 def may_link(na: str, pa_: str, nb: str, pb: str, percent: int) -> Column:
@@ -233,7 +231,7 @@ def by_size(posted: DataFrame, percent: int, longer: bool) -> DataFrame:
         some = posted.withColumn("from", F.col("n")).withColumn("to", F.expr(f"least((100 * n) div {percent}, {reach})"))
     own, other = ("high", "low") if longer else ("low", "high")
     bands = F.explode(F.sequence(band(F.col("from")), band(F.col("to")))).alias(other)
-    return some.where(F.col("from") <= F.col("to")).select("gram", "pos", "class", "n", "root", band(F.col("n")).alias(own), bands)
+    return some.where(F.col("from") <= F.col("to")).select("gram", "pos", "class", "n", "root", *SIGNS, band(F.col("n")).alias(own), bands)
 
 
 def crossed_pairs(parted: DataFrame, percent: int) -> DataFrame:
@@ -243,44 +241,46 @@ def crossed_pairs(parted: DataFrame, percent: int) -> DataFrame:
     classes hold an n-gram, only those meet whose sizes and positions let them link, up to the width
     of a band: classes that share one passage and are too unlike for their sizes don't meet at all.
     """
-    names = ("pos", "class", "n", "root")
-    renamed = lambda rows, *keys: rows.select(*keys, *[F.col(c).alias(f"{c}_") for c in names])
-    right = may_link("n_", "pos_", "n", "pos", percent)
+    right = may_link("n_", "pos_", "n", "pos", percent) & alike(percent)
     few, many = parted.where(F.col("holders") <= SEVERAL), parted.where(F.col("holders") > SEVERAL)
-    pairs = renamed(few.where("root <> main"), "gram").join(few, "gram").where("root <> root_").where(right).select(*names, "class_", "n_")
+    pairs = renamed(few.where("root <> main").drop("main", "holders"), "gram").join(few, "gram").where("root <> root_").where(right).select("class", "n", "class_", "n_")
     bands = ("gram", "high", "low")
     for longer, shorter in ((many.where("root <> main"), many), (many.where("root = main"), many.where("root <> main"))):
         met = renamed(by_size(longer, percent, True), *bands).join(by_size(shorter, percent, False), list(bands))
         met = met.where("root <> root_ and (n_ > n or n_ = n and class_ < class)").where(right)
-        pairs = pairs.union(met.select(*names, "class_", "n_"))
+        pairs = pairs.union(met.select("class", "n", "class_", "n_"))
     return pairs.select(
         F.least("class", "class_").alias("a"), F.when(F.expr("class < class_"), F.col("n")).otherwise(F.col("n_")).alias("na"),
         F.greatest("class", "class_").alias("b"), F.when(F.expr("class < class_"), F.col("n_")).otherwise(F.col("n")).alias("nb"),
     ).distinct()
 
 
-def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragments: int = 16) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragments: int = 16, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two documents link when ``100 * |A and B| >= percent * |A or B|`` for their sets of distinct
     n-grams of ``size`` words; ``component_id`` is the smallest doc_id that links reach.  A document
     with fewer words is one n-gram; one without words, or with a null text, has none and links with
     nothing.  A repeated row is a document of its own; a null doc_id is no name for a component
-    unless its component has no other.  An empty table gives no rows; other columns are left out.
+    unless its component has no other.  An empty table gives no rows; other columns are left out, but the
+    ``keys``, columns that the caller tells rows apart by: with them ``component`` is a number of the
+    component, null for a document without words.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, F.coalesce("text", F.lit("")).alias("text"))
     order = spark.sparkContext.broadcast(global_order(docs, size, fragments))
     rows = stage(heads(docs, order, size, percent))
     posted = rows.where("n > 0").select("class", "n", F.posexplode("head").alias("pos", "gram"))
     shared = posted.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     posted = stage(posted.join(shared.where("low < high").select("gram"), "gram", "left_semi").distinct())
+    signs = rows.where("n > 0").select("class", *SIGNS).dropDuplicates(["class"])
 
-    first = posted.groupBy("gram").agg(F.min(F.struct("pos", F.col("class").alias("a"), "n")).alias("f"))
-    first = first.select("gram", F.col("f.a").alias("a"), F.col("f.n").alias("na"), F.col("f.pos").alias("posa"))
-    stars = posted.join(first, "gram").where("class <> a").where(may_link("na", "posa", "n", "pos", percent))
-    stars = stage(stars.select("a", "na", F.col("class").alias("b"), F.col("n").alias("nb")).distinct())
-    found = linked_among(docs, rows, stars, order, size, percent)
+    first = posted.groupBy("gram").agg(F.min(F.struct("pos", "class", "n")).alias("f"))
+    first = first.select("gram", *[F.col(f"f.{c}").alias(f"{c}_") for c in ("pos", "class", "n")])
+    stars = posted.join(first, "gram").where("class <> class_").where(may_link("n_", "pos_", "n", "pos", percent))
+    stars = stars.select("class", "n", "class_", "n_").distinct().join(signs, "class").join(renamed(signs), "class_").where(alike(percent))
+    stars = stage(stars.select(F.col("class_").alias("a"), F.col("n_").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")))
+    found = linked_among(docs, stars, order, size, percent)
 
     roots = connected(found)
     named = posted.join(roots, posted["class"] == roots["node"], "left")
@@ -289,41 +289,45 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
         F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", F.struct("pos", "class")).alias("main"),
         F.count("*").alias("holders"),
     )
-    parted = named.join(parted.where("low < high").select("gram", "main", "holders"), "gram")
+    # What still has to meet carries its signature, so that unlike sets make no pair.
+    parted = stage(named.join(parted.where("low < high").select("gram", "main", "holders"), "gram").join(signs, "class"))
     crossed = crossed_pairs(parted, percent)
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossed = stage(close_pairs(crossed.join(done, ["a", "b"], "left_anti"), rows, percent))
+    crossed = stage(crossed.join(done, ["a", "b"], "left_anti"))
     if not crossed.isEmpty():
         parts = wanted_segments(docs, crossed, order, size)
         # One pair for each class and component first: where it links, the others need no counting.
         some = stage(one_partner(apart(crossed, roots)))
         found = found.union(stage(linked_pairs(some, parts, percent)))
         roots = connected(found)
-        rest = apart(crossed.join(some.select("a", "b"), ["a", "b"], "left_anti"), roots)
-        found = found.union(stage(linked_pairs(rest.select("a", "na", "b", "nb"), parts, percent)))
-        roots = connected(found)
+        rest = stage(apart(crossed.join(some.select("a", "b"), ["a", "b"], "left_anti"), roots).select("a", "na", "b", "nb"))
+        if not rest.isEmpty():
+            found = found.union(stage(linked_pairs(rest, parts, percent)))
+            roots = connected(found)
+    order.destroy()
 
     classes = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     classes = classes.join(roots, classes["class"] == roots["node"], "left")
     classes = stage(classes.select("class", "least", F.coalesce("root", "class").alias("root")))
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(smallest, "root").select("class", "component_id")
-    several = rows.select("doc_id", "class", "n").join(named, "class", "left")
+    named = classes.join(smallest, "root").select("class", "component_id", "root")
+    several = rows.select("doc_id", *keys, "class", "n").join(named, "class", "left")
     return several.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", *keys, F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *([F.col("root").alias("component")] if keys else []),
     )
 
 
-def linked_among(docs: DataFrame, rows: DataFrame, pairs: DataFrame, order, size: int, percent: int) -> DataFrame:
+def linked_among(docs: DataFrame, pairs: DataFrame, order, size: int, percent: int) -> DataFrame:
     """The links among candidate pairs, as a written table."""
-    pairs = stage(close_pairs(pairs, rows, percent))
     return stage(linked_pairs(pairs, wanted_segments(docs, pairs, order, size), percent))
 
 
 def wanted_segments(docs: DataFrame, pairs: DataFrame, order, size: int) -> DataFrame:
     """The segments of all classes in some pairs, as a written table."""
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    return stage(segments(docs, wanted, order, size))
+    return segments(docs, wanted, order, size)
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:

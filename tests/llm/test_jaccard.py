@@ -1,11 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from rows import awkward, documents, near_copies, words
 
 from ratewell.llm import jaccard
 from ratewell.llm.components import connected
-from ratewell.llm.jaccard import close_pairs, global_order, heads, jaccard_components, linked_pairs, wanted_segments
+from ratewell.llm.jaccard import SIGNS, global_order, heads, jaccard_components, linked_pairs, wanted_segments
 
 
 def sets_of(rows, size):
@@ -86,7 +87,7 @@ def test_copies_bring_their_segments_once(spark):
     found = heads(docs, order, 4, 85)
     one, two = found.select("class", "n").distinct().collect()
     pairs = spark.createDataFrame([(one["class"], one["n"], two["class"], two["n"])], "a long, na long, b long, nb long")
-    parts = wanted_segments(docs, close_pairs(pairs, found, 85), order, 4)
+    parts = wanted_segments(docs, pairs, order, 4)
     assert 2 <= parts.count() == parts.select("class", "fragment").distinct().count() <= 8
     assert [(r.a, r.b) for r in linked_pairs(pairs, parts, 85).collect()] == [(one["class"], two["class"])]
     assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
@@ -96,6 +97,7 @@ def test_classes_with_one_passage_that_cannot_link_do_not_meet(spark):
     # 17 shared n-grams after 3 own: 17 / 23 is below the threshold.
     rows = [(1, 3, k, 20, k, 0, 500) for k in range(500)]
     posted = spark.createDataFrame(rows, "gram long, pos int, class long, n long, root long, main long, holders long")
+    posted = posted.select("*", *[F.lit(0).cast("long").alias(c) for c in SIGNS])
     keys = ["gram", "high", "low"]
     assert jaccard.by_size(posted, 85, True).join(jaccard.by_size(posted, 85, False), keys).count() == 0
 
@@ -107,6 +109,7 @@ def test_pairs_by_size_are_those_of_all(spark, monkeypatch):
         n = rng.choice([rng.randint(1, 40), rng.randint(110, 150), rng.randint(900, 1100)])
         rows.append((k % 2, rng.randint(0, n - -(-85 * n // 100)), k, n, rng.randint(0, 60), 7, 150))
     posted = spark.createDataFrame(rows, "gram long, pos int, class long, n long, root long, main long, holders long")
+    posted = posted.select("*", *[F.lit(0).cast("long").alias(c) for c in SIGNS])
     need = lambda n, m: -(-85 * (n + m) // 185)
     expected = {
         (x[2], x[3], y[2], y[3]) for x in rows for y in rows
