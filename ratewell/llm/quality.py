@@ -77,22 +77,24 @@ def logits(found: Features, weights: np.ndarray, bias: float) -> np.ndarray:
     return (total[high] - total[low]) / np.maximum(many[high] - many[low], 1) + bias
 
 
-def train(texts: pa.Array, labels: np.ndarray, buckets: int = 1 << 17, width: int = 8, steps: int = 12_000, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
+def counted_features(column: pa.Array, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct features of each text and the share of each."""
+    found = features_of(column, buckets)
+    for a, b in zip(found.bounds[:-1], found.bounds[1:]):
+        w = found.which[a:b]
+        own = found.words[runs(found.first[w], found.first[w + 1] - found.first[w])]
+        rest = slice(a + 1, b) if b > a else slice(a, a)
+        every = np.concatenate([own, found.pairs[rest], found.repeats[rest]])
+        index, count = np.unique(every, return_counts=True)
+        yield index.astype(np.int32), (count / max(len(every), 1)).astype(np.float32)
+
+
+def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, buckets: int = 1 << 17, width: int = 8, steps: int = 12_000, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Learn embeddings and softmax layer; returns the weight of each feature and the bias.
 
     One step per text, ``steps`` in all over several passes; classes weigh alike.  The same rows in the
     same order give the same model.
     """
-    docs = []
-    for at in range(0, len(texts), 256):
-        found = features_of(texts[at : at + 256], buckets)
-        for a, b in zip(found.bounds[:-1], found.bounds[1:]):
-            w = found.which[a:b]
-            own = found.words[runs(found.first[w], found.first[w + 1] - found.first[w])]
-            rest = slice(a + 1, b) if b > a else slice(a, a)
-            every = np.concatenate([own, found.pairs[rest], found.repeats[rest]])
-            index, count = np.unique(every, return_counts=True)
-            docs.append((index, (count / max(len(every), 1)).astype(np.float32)))
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / width, 1 / width, (buckets, width)).astype(np.float32)
     layer, bias = np.zeros((width, 2), np.float32), np.zeros(2, np.float32)
@@ -117,17 +119,49 @@ def train(texts: pa.Array, labels: np.ndarray, buckets: int = 1 << 17, width: in
     return table @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> tuple[pa.Array, np.ndarray]:
-    """At most ``most`` labelled texts outside the held-out fold (crc32 of the id mod 4 is 2).
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` labelled texts outside the held-out fold (crc32 of the id mod 4 is 2): doc_id, text, y.
 
     Which ones is decided by a hash of the id, so it doesn't depend on how the tables are partitioned.
     """
     kept = labels.where((crc_of_id(F.col("doc_id")) % 4 != 2) & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-    kept = kept.groupBy("doc_id").agg(F.max(label).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    kept = kept.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("long").alias("y"))
+    kept = kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # One text an id, so a repeated id can't exceed the bound.
-    found = docs.select("doc_id", "text").join(F.broadcast(kept), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
-    rows = found.orderBy("doc_id").collect()
-    return pa.array([r["text"] for r in rows], pa.string()), np.array([r["y"] for r in rows], np.int64)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(kept), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+
+
+def learned(rows: DataFrame, buckets: int) -> tuple[np.ndarray, float] | float:
+    """The weights and the bias, or the share of label 1 where there is one kind only, 0.5 without rows.
+
+    Texts become counted features where they lie; one task learns from those, and the driver gets the weights.
+    """
+    features = pa.schema([("doc_id", pa.int64()), ("y", pa.int64()), ("index", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])
+    model = pa.schema([("kinds", pa.int64()), ("share", pa.float64()), ("weights", pa.binary()), ("bias", pa.float64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "text"):
+            index, part = zip(*counted_features(batch.column("text"), buckets))
+            ends = np.concatenate([[0], np.cumsum([len(i) for i in index])]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x))) for x in (index, part)]
+            yield batch_of(features, batch.column("doc_id"), batch.column("y"), *lists)
+
+    def learn(some: pa.Table) -> pa.Table:
+        some = some.sort_by("doc_id")
+        y = some.column("y").to_numpy()
+        kinds, weights, bias = len(np.unique(y)), b"", 0.0
+        if kinds > 1:
+            docs = [(i.values.to_numpy(), p.values.to_numpy()) for i, p in zip(some.column("index"), some.column("share"))]
+            found, bias = train(docs, y, buckets)
+            weights = found.astype("<f8").tobytes()
+        return pa.Table.from_batches([batch_of(model, [kinds], [float(y.mean())], [weights], [bias])])
+
+    made = rows.mapInArrow(count, "doc_id long, y long, index array<int>, share array<float>")
+    found = made.groupBy(F.lit(1).alias("all")).applyInArrow(learn, "kinds long, share double, weights binary, bias double").first()
+    if found is None:
+        return 0.5
+    return (np.frombuffer(found["weights"], "<f8"), found["bias"]) if found["kinds"] > 1 else found["share"]
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 2000, score: str = "score") -> DataFrame:
@@ -139,11 +173,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", mo
     with the name of ``score`` is replaced.
     """
     spark = docs.sparkSession
-    texts, known = training_rows(docs, labels, label, most)
-    if len(set(known.tolist())) < 2:
-        return docs.withColumn(score, F.lit(float(known.mean()) if len(known) else 0.5))
     buckets = 1 << 17
-    model = spark.sparkContext.broadcast(train(texts, known, buckets))
+    found = learned(training_rows(docs, labels, label, most), buckets)
+    if isinstance(found, float):
+        return docs.withColumn(score, F.lit(found))
+    model = spark.sparkContext.broadcast(found)
     out = docs.drop(score)
     mine = fresh_name(out, "score_")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
