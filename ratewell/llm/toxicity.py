@@ -2,7 +2,7 @@
 
 A text is a row of densities: words of a fixed lexicon and of one learned from labels, how near they
 stand to the second person, capitals, punctuation and signs of obfuscation.  The trees and the
-calibration are trained by Spark on all labelled rows; the calibration on rows that the trees don't see.
+calibration are trained by Spark on a bounded sample of labelled rows; the calibration on rows that the trees don't see.
 """
 
 from __future__ import annotations
@@ -193,12 +193,16 @@ def features_of(column: pa.Array, lexicon: tuple, seeds: np.ndarray, second: np.
     ])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """All labelled texts outside the held-out fold (crc32 of the id mod 3 is 1): doc_id, text, y; a text an id."""
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` labelled texts outside the held-out fold (crc32 of the id mod 3 is 1): doc_id, text, y; a text an id.
+
+    Which ones is decided by a hash of the id, so it doesn't depend on how the tables are partitioned.
+    """
     kept = labels.where((crc_of_id(F.col("doc_id")) % 3 != 1) & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     kept = kept.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("long").alias("y"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(kept, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    kept = kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(kept), "doc_id")
+    return texts.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -248,10 +252,10 @@ def with_features(rows: DataFrame, shared, label: str | None, name: str) -> Data
     return rows.mapInArrow(add, f"{kind}, `{name}` array<double>")
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_words: int = 1 << 16, trees: int = 20, depth: int = 3, score: str = "score") -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 20_000, most_words: int = 1 << 16, trees: int = 20, depth: int = 3, score: str = "score") -> DataFrame:
     """``docs`` (doc_id, text) with one more column: how likely label 1 is, 0 to 1.
 
-    Learns from all labelled rows outside the held-out fold: a lexicon of at most ``most_words`` words, the
+    Learns from ``most`` labelled rows outside the held-out fold: a lexicon of at most ``most_words`` words, the
     trees from two thirds of the rows, by a hash of the id, and the calibration from the rest.  Where that
     rest has one class only, all rows calibrate.  Every whole text is scored, and by the text alone; null
     and empty texts get the score of a text without words.  Without labels, or with one kind only, every
@@ -260,19 +264,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mos
     replaced.
     """
     spark = docs.sparkSession
-    rows = training_rows(docs, labels, label)
+    rows = stage(training_rows(docs, labels, label, most))
     share = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("toxic")).first()
     n_toxic, n_clean = share["toxic"], share["n"] - share["toxic"]
     if not n_toxic or not n_clean:
         return docs.withColumn(score, F.lit(float(n_toxic > 0) if share["n"] else 0.5))
-    # Few rows make few tasks: trees are grown in many small jobs.
-    rows = stage(rows.repartition(-(-share["n"] // 20_000), "doc_id"))
     lexicon = learn_lexicon(rows, n_toxic, n_clean, most_words)
     shared = spark.sparkContext.broadcast((lexicon, hashes_of(INSULTS), hashes_of(SECOND_PERSON)))
     made = with_features(rows, shared, "y", "dense").select(
         array_to_vector("dense").alias("features"), F.col("y").cast("double").alias("label"), (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("rest")
     )
-    made = stage(made)
+    made = stage(made.repartition(1))  # at most ``most`` rows of few numbers: trees are grown in many small jobs
     rest = made.where("rest")
     seen = made.where("not rest")
     kinds = made.groupBy("rest").agg(F.countDistinct("label").alias("kinds")).collect()
