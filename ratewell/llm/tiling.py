@@ -9,7 +9,6 @@ the tiles cover at least a share of its words, in whatever order its passages st
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,20 +22,13 @@ _ROLL = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_ROLL), -1, 2**64))
 
 
-@dataclass(frozen=True)
-class Items:
-    """Some benchmark items: their words, and the items of every seed, ascending by its hash."""
+def prepare(rows: list[tuple[int | None, str | None]], shortest: int) -> dict:
+    """Some benchmark items: their words, and the items of every seed, ascending by its hash.
 
-    ids: list[int | None]
-    words: np.ndarray
-    first: np.ndarray
-    seeds: np.ndarray
-    post: np.ndarray  # seed k stands in the items owner[post[k]:post[k + 1]]
-    owner: np.ndarray
-    shortest: np.ndarray  # of each item; an item of fewer words than asked is one seed
-
-
-def prepare(rows: list[tuple[int | None, str | None]], shortest: int) -> Items:
+    ``ids``; ``words`` and ``first``: item k has words[first[k]:first[k + 1]]; ``seeds``; ``post`` and ``owner``:
+    seed k stands in the items owner[post[k]:post[k + 1]]; ``shortest``: of each item, as one of fewer words
+    than asked is one seed.
+    """
     found = words_of(pa.array([t for _, t in rows], pa.string()), marks=False)
     seeds, owner, least = [], [], []
     for k in range(len(rows)):
@@ -48,7 +40,10 @@ def prepare(rows: list[tuple[int | None, str | None]], shortest: int) -> Items:
     every, owners = np.concatenate(seeds), np.concatenate(owner)
     order = np.lexsort((owners, every))
     distinct, post = np.unique(every[order], return_index=True)
-    return Items([i for i, _ in rows], found.hashes, found.first, distinct, np.append(post, len(every)), owners[order], np.array(least))
+    return {
+        "ids": [i for i, _ in rows], "words": found.hashes, "first": found.first, "seeds": distinct,
+        "post": np.append(post, len(every)), "owner": owners[order], "shortest": np.array(least),
+    }
 
 
 class Rolling:
@@ -104,31 +99,31 @@ def tiles(item: np.ndarray, text: np.ndarray, breaks: np.ndarray, shortest: int)
     return found
 
 
-def leaks(words: np.ndarray, items: Items, shortest: int, share: float) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
+def leaks(words: np.ndarray, items: dict, shortest: int, share: float) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
     """The items whose tiles in a text cover ``share`` of them: item, words covered, tiles."""
     answer = []
     hashes = shingle_hashes(words, shortest)
-    if not len(hashes) or not len(items.seeds):
+    if not len(hashes) or not len(items["seeds"]):
         return answer
-    place = np.minimum(np.searchsorted(items.seeds, hashes), len(items.seeds) - 1)
-    hits = np.flatnonzero(items.seeds[place] == hashes)
-    if not len(hits) and not (items.shortest < shortest).any():
+    place = np.minimum(np.searchsorted(items["seeds"], hashes), len(items["seeds"]) - 1)
+    hits = np.flatnonzero(items["seeds"][place] == hashes)
+    if not len(hits) and not (items["shortest"] < shortest).any():
         return answer
     seeds = place[hits]
-    many = items.post[seeds + 1] - items.post[seeds]
-    which = items.owner[np.repeat(items.post[seeds] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+    many = items["post"][seeds + 1] - items["post"][seeds]
+    which = items["owner"][np.repeat(items["post"][seeds] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
     where = np.repeat(hits, many)
     order = np.lexsort((where, which))
     which, where = which[order], where[order]
     for k, low, high in zip(*(x.tolist() for x in _groups(which))):
-        item = items.words[items.first[k] : items.first[k + 1]]
+        item = items["words"][items["first"][k] : items["first"][k + 1]]
         size = min(shortest, len(words))
         covered = np.unique((where[low:high, None] + np.arange(size)).ravel())
         # Words of the text outside seeds can be in no tile; a gap is one blocked place.
         jump = np.flatnonzero(np.diff(covered) > 1) + 1
         text = np.insert(words[covered], jump, np.uint64(0))
         spot = np.insert(covered, jump, -1)
-        laid = tiles(item, text, spot < 0, int(items.shortest[k]))
+        laid = tiles(item, text, spot < 0, int(items["shortest"][k]))
         count = sum(n for _, _, n in laid)
         if count >= share * len(item):
             answer.append((k, count, [(i, int(spot[j]), n) for i, j, n in laid]))
@@ -140,7 +135,7 @@ def _groups(which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, first, np.append(first[1:], len(which))
 
 
-def item_blocks(benchmark: DataFrame, shortest: int, most_bytes: int) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, shortest: int, most_bytes: int) -> Iterator[dict]:
     """The benchmark in blocks of at most about ``most_bytes`` of text, each small enough to send to all."""
     held, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), F.lower(F.coalesce("text", F.lit(""))).alias("text")).toLocalIterator():
@@ -180,9 +175,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shortest: int = 5, share:
                 ids = batch.column("doc_id").to_pylist()
                 for k, doc in enumerate(ids):
                     for item, count, laid in leaks(found.hashes[found.first[k] : found.first[k + 1]], items, shortest, share):
-                        size = int(items.first[item + 1] - items.first[item])
+                        size = int(items["first"][item + 1] - items["first"][item])
                         spots = [{"in_item": i, "in_doc": j, "words": n} for i, j, n in sorted(laid)]
-                        out.append((doc, items.ids[item], size, count, spots))
+                        out.append((doc, items["ids"][item], size, count, spots))
                 if out:
                     yield batch_of(schema, *zip(*out))
 
