@@ -50,10 +50,10 @@ def _mixed(value: Column) -> Column:
 def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = 3) -> DataFrame:
     """Per row of ``docs``: its columns other than text, the counts and the spans.
 
-    Adds row_id, n_assign, n_access, n_hex, base_spans and spans (arrays of kind, start, end, live and
-    copied, by start, then kind), with code points from 0 and exclusive ends.  A value is live if one
-    owner has it and it doesn't look like a placeholder, copied if ``copied`` owners or more have it;
-    null owners are one owner.  Rows are told apart by a number given when the matches are first
+    Adds row_id, n_assign, n_access, n_hex, base_spans and spans (arrays of kind, start, end, looks, live and
+    copied, by start, then kind), with code points from 0 and exclusive ends.  A value looks live if it
+    doesn't look like a placeholder, is live if one owner has it besides, copied if ``copied`` owners or
+    more have it; null owners are one owner.  Rows are told apart by a number given when the matches are first
     written, so repeated rows and null ids are rows like others.  A null text is empty; an empty table
     gives no rows.  Values that a third of all rows share are combined before each shuffle.
     """
@@ -98,7 +98,7 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     base = F.col("place").isin([p for p, k in enumerate(KINDS) if k.base])
     spans = spans.where(base | F.col("live")).withColumn("copied", F.col("owners") >= copied)
     named = F.element_at(F.array(*[F.lit(k.name) for k in KINDS]), F.col("place") + 1)
-    span = F.struct("start", "place", "end", named.alias("kind"), "hidden", "live", "copied", "owners", "repositories")
+    span = F.struct("start", "place", "end", named.alias("kind"), "hidden", "looks", "live", "copied", "owners", "repositories")
     counts = [F.sum((F.col("place") == p).cast("long")).alias(f"n_{k.name}") for p, k in enumerate(KINDS) if k.base]
     by_row = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(span)).alias("spans"), *counts)
     none = F.array().cast(by_row.schema["spans"].dataType)
@@ -111,15 +111,17 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
 
 
 def mask_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = 3, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with the value of every secret span replaced by ``mask``, unless the value is copied.
+    """``docs`` with the value of every secret span replaced by ``mask``, unless it is a widely copied example.
 
+    An example is a value that ``copied`` owners or more have *and* that looks like a placeholder: a
+    live-looking key is masked however many have it.
     Rows, columns and their order stay.  The value of an assignment is masked without the name.  Texts
     without secrets are not touched.  See ``scan_secrets`` for nulls, repeats and empty tables.
     """
     body, name = fresh_name(docs, "body"), docs.columns
     found = scan_secrets(docs.withColumn(body, F.col("text")), owner, repository, copied)
     text = F.col(f"row.{body}")
-    own = F.filter("spans", lambda s: ~s.copied)
+    own = F.filter("spans", lambda s: ~s.copied | s.looks)
     # Overlapping spans are one: a span begins where the last ended, if that is later.
     ends = lambda upto: F.coalesce(F.array_max(F.transform(upto, lambda s: s.end)), F.lit(0).cast("long"))
     index = F.sequence(F.lit(1), F.size(own))
