@@ -56,6 +56,11 @@ def document_sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
         yield np.unique(shingle_hashes(found.hashes[low:high], size))
 
 
+def without_words(text: Column) -> Column:
+    """Whether a text has no words: it is null, or holds nothing but spaces and ``\\x09``-``\\x0d``."""
+    return ~F.coalesce(text, F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+
+
 def class_of(hashes: np.ndarray) -> int:
     """One number for a set."""
     with np.errstate(over="ignore"):
