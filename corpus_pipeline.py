@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.llm.common import fresh_name, new_folder, table
-from ratewell.llm.jaccard import jaccard_components
+from ratewell.llm.jaccard import jaccard_components, without_words
 from ratewell.llm.packing import pack_pieces, token_pieces
 from ratewell.llm.quality import score_quality
 from ratewell.llm.queries import WORD_BPE
@@ -29,19 +29,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near duplicates.
+    """Keep one document of each group of near duplicates: the one with the smallest doc_id, then text.
 
-    Documents link at a Jaccard similarity of 0.8 of their five-word shingles.  Repeated rows of a
-    doc_id stay once; documents without words or without a doc_id stay.
+    Documents link at a Jaccard similarity of 0.8 of their five-word shingles.  A document is its doc_id and
+    its text: rows that repeat both stay once, unlike texts under one doc_id are documents of their own.
+    A null doc_id is the largest.  Documents without words stay, and so do their repeats.
     """
-    found = jaccard_components(docs, size=5, percent=80)
-    state = fresh_name(docs, "state")
-    copies = found.where("doc_id <> component_id").select("doc_id", F.lit("copy").alias(state))
-    repeats = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    marked = docs.join(copies.union(repeats.select("doc_id", F.lit("repeat"))).distinct(), "doc_id", "left")
-    marked = marked.select(*docs.columns, state)
-    once = marked.where(F.col(state) == "repeat").dropDuplicates(["doc_id"])
-    return marked.where(F.col(state).isNull()).union(once).drop(state)
+    key, none = fresh_name(docs, "document_key"), F.col("doc_id").isNull()
+    named = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    marked = docs.withColumn(key, F.unhex(F.md5(named.cast("binary"))))
+    found = jaccard_components(marked, size=5, percent=80, keys=(key,)).where(F.col("component").isNotNull())
+    first = found.groupBy("component").agg(F.min(F.struct(none.alias("none"), "doc_id", F.col(key).alias("key"))).alias("first"))
+    wordless = without_words(F.col("text"))
+    # Joined and deduplicated by one key, so rows are shuffled once.
+    one = marked.where(~wordless).join(first.select(F.col("first.key").alias(key)), key, "left_semi").dropDuplicates([key])
+    return docs.where(wordless).unionByName(one.select(docs.columns))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask every secret that isn't a widely copied example; documents stay."""
+    """Mask the value of every secret but widely copied placeholders; documents stay."""
     return mask_secrets(docs, owner="source", repository="doc_id")
 
 
