@@ -441,7 +441,7 @@ class Tables:
         customers = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         # One customer may hold much of the orders.
-        placed = spread_join(orders, customers, ["o_custkey"], "inner", probe=customers)
+        placed = spread_join(orders, customers, ["o_custkey"], "inner")
         return pick(placed, PLACE_EXPRS)
 
     def diagnoses(self) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CONSTANT_ROWS = 5_000
-SMALL_ROWS = 100_000
 SALTS = 32
 HOT_SHARE = 0.005
 
@@ -45,8 +44,11 @@ def bounded(df: DataFrame, max_rows: int = CONSTANT_ROWS) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
+def broadcasts(df: DataFrame) -> bool:
+    """Whether Spark broadcasts the table by its own size rule; no job runs."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
 
 
 def same(left: Column, right: Column, null_safe: bool) -> Column:
@@ -87,24 +89,15 @@ def spread_join(
     on: list[str],
     how: str = "left",
     salts: int = SALTS,
-    small_rows: int = SMALL_ROWS,
-    probe: DataFrame | None = None,
 ) -> DataFrame:
     """``lookup_join`` for a lookup that may be large and facts that may crowd on a few keys.
 
-    Up to ``small_rows`` rows in ``probe`` (the table the lookup was made from) the plain join is
-    used: Spark sees the size of the table and broadcasts.  Without a probe a lookup of few rows
-    becomes a constant table.  Beyond that the hot keys of ``df`` are
+    A lookup that Spark broadcasts moves no facts, so nothing crowds.  Else the hot keys of ``df`` are
     spread over ``salts`` shuffle keys and only their lookup rows are repeated, so every other key
     is joined once.  The salt depends on the row content alone: a recomputed task gives it again.
     """
-    if probe is not None:
-        if is_small(probe, small_rows):
-            return df.join(lookup, on, how)
-    else:
-        constant = bounded(lookup, min(small_rows, CONSTANT_ROWS))
-        if constant is not lookup:
-            return df.join(constant, on, how)
+    if broadcasts(lookup):
+        return df.join(lookup, on, how)
     # Taken once: both sides must see the same keys, and an approximate count may not repeat itself.
     # At most 1 / HOT_SHARE rows reach the driver.
     listed = [(r["__hash"], True) for r in hot_keys(df, on).collect()]

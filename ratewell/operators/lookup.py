@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratewell.functions import codes
 from ratewell.operators.joins import bounded, lookup_join, spread_join
+from ratewell.operators.sets import union_by_name
 from ratewell.schema import CODES, ESP2013, METADATA_COLS
 
 
@@ -74,8 +75,8 @@ def one_row(lookup: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return lookup.groupBy(key).agg(least).select(key, *[F.col(f"__row.{c}").alias(c) for c in columns])
 
 
-def _attach(df: DataFrame, found: DataFrame, on: list[str], source: DataFrame, crowded: bool) -> DataFrame:
-    return spread_join(df, found, on, probe=source) if crowded else df.join(found, on, "left")
+def _attach(df: DataFrame, found: DataFrame, on: list[str], crowded: bool) -> DataFrame:
+    return spread_join(df, found, on) if crowded else df.join(found, on, "left")
 
 
 def update_from(
@@ -94,7 +95,7 @@ def update_from(
     found = lookup.groupBy(*on).agg(
         F.min(value or column).alias("__value"), F.lit(True).alias("__matched")
     )
-    joined = _attach(df, found, on, lookup, crowded)
+    joined = _attach(df, found, on, crowded)
     chosen = F.when(F.col("__matched"), F.col("__value")).otherwise(F.col(column))
     return joined.withColumn(column, chosen).select(df.columns)
 
@@ -108,23 +109,30 @@ def fill_from(
 ) -> DataFrame:
     """Fill the NULLs of ``columns`` (name to lookup column) from ``sources`` in order.
 
-    A source is a lookup and a condition on the row, or None for every row.  All columns of a
-    source arrive by one join.
+    A source is a lookup and a condition on the row, or None for every row.  A lookup with several rows
+    per key counts with its smallest values.  The sources are stacked and brought to one row per key
+    together, so the rows meet them in one join, however many there are; a condition sees what earlier
+    sources have filled.
     """
-    filled = df
-    for lookup, condition in sources:
-        found = lookup.groupBy(*on).agg(
-            *[F.min(value).alias(f"__{name}") for name, value in columns.items()]
-        )
-        joined = _attach(filled, found, on, lookup, crowded)
-        offered = {
-            name: F.col(f"__{name}") if condition is None else F.when(condition, F.col(f"__{name}"))
-            for name in columns
-        }
-        filled = joined.withColumns(
-            {name: F.coalesce(F.col(name), offer) for name, offer in offered.items()}
-        ).select(df.columns)
-    return filled
+    every = union_by_name(
+        *[
+            lookup.select(*on, F.lit(place).alias("__source"), *[F.col(value).alias(f"__{name}") for name, value in columns.items()])
+            for place, (lookup, _) in enumerate(sources)
+        ]
+    )
+    offers = {
+        f"__{name}_{place}": F.min(F.when(F.col("__source") == place, F.col(f"__{name}")))
+        for place in range(len(sources))
+        for name in columns
+    }
+    found = every.groupBy(*on).agg(*[offer.alias(name) for name, offer in offers.items()])
+    filled = _attach(df, found, on, crowded)
+    for place, (_, condition) in enumerate(sources):
+        offered = {name: F.col(f"__{name}_{place}") for name in columns}
+        if condition is not None:
+            offered = {name: F.when(condition, offer) for name, offer in offered.items()}
+        filled = filled.withColumns({name: F.coalesce(F.col(name), offer) for name, offer in offered.items()})
+    return filled.select(df.columns)
 
 
 def map_codes(df: DataFrame, dim: DataFrame, column: str, key: str, code: str) -> DataFrame:

@@ -159,7 +159,7 @@ def population_totals(population: DataFrame) -> DataFrame:
 def attach_population(df: DataFrame, population: DataFrame) -> DataFrame:
     """Fill missing denominators from the coded population."""
     totals = population_totals(population)
-    joined = spread_join(df, totals, POPULATION_KEYS, probe=population)
+    joined = spread_join(df, totals, POPULATION_KEYS)
     return joined.withColumn("denominator", F.coalesce("denominator", "population")).select(df.columns)
 
 
@@ -168,6 +168,6 @@ def filter_age_range(df: DataFrame, age_metadata: DataFrame) -> DataFrame:
     ranges = age_metadata.groupBy("indicator_id").agg(
         F.min("min_age_code").alias("__low"), F.max("max_age_code").alias("__high")
     )
-    joined = spread_join(df, ranges, ["indicator_id"], probe=age_metadata)
+    joined = spread_join(df, ranges, ["indicator_id"])
     inside = F.col("age_group_code").between(F.col("__low"), F.col("__high"))
     return joined.filter(F.coalesce(inside, F.lit(True))).select(df.columns)

@@ -46,17 +46,21 @@ def test_spread_join_keeps_every_row_of_a_crowded_key(spark, how):
     )
     lookup_table = spark.range(4_000).selectExpr("id as k", "id * 10 as v")
     plain = facts.join(lookup_table, "k", how).select("id", "k", "v")
-    spread = joins.spread_join(facts, lookup_table, ["k"], how, salts=8, small_rows=10)
+    assert "BroadcastHashJoin" in joins.spread_join(facts, lookup_table, ["k"], how)._jdf.queryExecution().toString()
+    never = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(never, "-1")
+    spread = joins.spread_join(facts, lookup_table, ["k"], how, salts=8)
     assert spread.count() == plain.count()
     assert spread.select("id", "k", "v").exceptAll(plain).isEmpty()
     coalescing = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(coalescing, "false")
     try:
-        again = joins.spread_join(facts, lookup_table, ["k"], how, salts=8, small_rows=10)
+        again = joins.spread_join(facts, lookup_table, ["k"], how, salts=8)
         crowded = again.filter("k = 7").withColumn("p", F.spark_partition_id()).groupBy("p").count()
         assert crowded.count() > 1
     finally:
         spark.conf.unset(coalescing)
+        spark.conf.unset(never)
 
 
 def test_hot_keys_are_found_and_few(spark):

@@ -67,12 +67,18 @@ def test_pooling_a_crowded_group(spark):
     assert result.combined.count() == 30_000 + len(found)
 
 
-@pytest.mark.parametrize("small_rows", [10, 1_000_000])
-def test_population_of_a_crowded_area(spark, monkeypatch, small_rows):
+@pytest.fixture(params=["-1", "10m"])
+def broadcasting(spark, request):
+    """With and without broadcasts, so that both ways of a crowded join are taken."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, request.param)
+    yield
+    spark.conf.unset(key)
+
+
+def test_population_of_a_crowded_area(spark, monkeypatch, broadcasting):
     original = joins.spread_join
-    monkeypatch.setattr(
-        rollup, "spread_join", lambda *a, **k: original(*a, **{**k, "small_rows": small_rows, "salts": 4})
-    )
+    monkeypatch.setattr(rollup, "spread_join", lambda *a, **k: original(*a, **{**k, "salts": 4}))
     facts = crowded_facts(spark).withColumn("denominator", F.lit(None).cast("double"))
     areas = spark.range(60).selectExpr("cast(id as int) as aggregation_id", "cast(id * 10 as int) as observation")
     population = areas.selectExpr(
@@ -89,11 +95,9 @@ def test_population_of_a_crowded_area(spark, monkeypatch, small_rows):
     assert set(POPULATION_KEYS) <= set(facts.columns)
 
 
-def test_override_for_a_crowded_person(spark, monkeypatch):
+def test_override_for_a_crowded_person(spark, monkeypatch, broadcasting):
     original = joins.spread_join
-    monkeypatch.setattr(
-        lookup, "spread_join", lambda *a, **k: original(*a, **{**k, "small_rows": 10, "salts": 4})
-    )
+    monkeypatch.setattr(lookup, "spread_join", lambda *a, **k: original(*a, **{**k, "salts": 4}))
     rows = spark.range(9_000).selectExpr(
         "id", "case when id % 3 = 0 then 5 when id % 3 = 1 then null else id end as person_id", "'own' as ethnicity"
     )
