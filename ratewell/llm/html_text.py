@@ -11,6 +11,7 @@ footers, sidebars, notices, adverts, forms or comments is never content.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -41,31 +42,40 @@ CLOSES_P = BLOCKS - {"html", "body", "caption", "legend", "summary", "td", "th",
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
 # Words in a class or id that name something other than the article.
-UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|breadcrumbs?|captcha|comments?|cookies?|consent|disclaimer|"
-    r"disqus|footers?|gdpr|login|menus?|modals?|navs?|navbar|navigation|newsletters?|notices?|notifications?|pagination|pager|popups?|"
-    r"promos?|promotions?|related|replies|reply|respond|share|sharing|sidebars?|signup|site-?header|page-?header|skip|social|sponsors?|"
-    r"sponsored|subscribe|subscription|toolbar|topbar|widgets?)(?:$|[\s_-]|\d)",
-    re.I,
-)
+NAMES = (
+    "ads? adverts? advertisements? advertising banners? breadcrumbs? captcha comments? cookies? consent disclaimer disqus footers? gdpr "
+    "login menus? modals? navs? navbar navigation newsletters? notices? notifications? pagination pager popups? promos? promotions? "
+    "sidebars? signup site-?header page-?header skip sponsors? sponsored subscribe subscription toolbar topbar widgets?"
+).split()
+TOPICS = "related replies reply respond share sharing social".split()  # as often what an article is about
+AROUND = "area article bar block bottom box buttons container content form inner inline js links list main page post reader section site slot top unit user wrap wrapper".split()
+UNWANTED = re.compile(rf"(?:^|[\s_-])(?:{'|'.join(NAMES + TOPICS)})(?:$|[\s_-]|\d)", re.I)
+OTHER = re.compile(rf"(?:(?:{'|'.join(AROUND)})[_-])*(?:{'|'.join(NAMES)})(?:[_-]?(?:{'|'.join(AROUND)}|\d+))*", re.I)
 
 
 class Lines(HTMLParser):
-    """The lines of a page: text, characters in links, tags, container path, whether ever content."""
+    """The lines of a page: text, characters in links, tags, container, whether never content, suspect.
+
+    Outside an article or main the words of a class or id decide.  Inside, only a name that says nothing
+    else does; an element with such a word in another name is a suspect, and content unless most of its
+    characters are in links.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, unwanted, container
+        self.stack: list[tuple[str, bool, int, int]] = []  # tag, unwanted, container, suspect
+        self.open: Counter[str] = Counter()
+        self.suspects = [-1]  # the suspect that holds each suspect; the first stands for none
         self.parents, self.depth, self.within = [-1], [0], [False]  # of each container; within an article or main
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, int, bool, int]] = []
         self.hidden = self.links = self.tags = self.linked = 0
         self.held: list[str] = []
 
     def cut(self) -> None:
         text = " ".join("".join(self.held).split())
         if text:
-            unwanted = bool(self.stack) and self.stack[-1][1]
-            self.lines.append((text, min(self.linked, len(text)), self.tags, self.stack[-1][2] if self.stack else 0, unwanted))
+            _, unwanted, container, suspect = self.stack[-1] if self.stack else ("", False, 0, 0)
+            self.lines.append((text, min(self.linked, len(text)), self.tags, container, unwanted, suspect))
             self.tags = 0
         self.held, self.linked = [], 0
 
@@ -85,23 +95,27 @@ class Lines(HTMLParser):
             elif tag in CLOSES:
                 self.close_until(CLOSES[tag], {"ul", "ol", "dl", "table", "menu"})
             self.cut()
-        above = self.stack[-1] if self.stack else ("", False, 0)
-        unwanted = above[1] or tag in BOILERPLATE or (tag == "header" and not self.inside("article"))
+        _, unwanted, container, suspect = self.stack[-1] if self.stack else ("", False, 0, 0)
+        inside = self.open["article"] + self.open["main"] > 0
+        unwanted = unwanted or tag in BOILERPLATE or (tag == "header" and not inside)
         if not unwanted and attrs and tag not in ("html", "body"):
             named = {k: v or "" for k, v in attrs}
             about = f"{named.get('class', '')} {named.get('id', '')}"
-            main = tag in ("article", "main")
-            unwanted = not main and bool(UNWANTED.search(about)) or named.get("role", "").lower() in ROLES
-            unwanted = unwanted or "hidden" in named or named.get("aria-hidden") == "true"
-        container = above[2]
+            unwanted = named.get("role", "").lower() in ROLES or "hidden" in named or named.get("aria-hidden") == "true"
+            if not unwanted and tag not in ("article", "main") and UNWANTED.search(about):
+                unwanted = not inside or any(OTHER.fullmatch(name) for name in about.split())
+                if not unwanted:
+                    self.suspects.append(suspect)
+                    suspect = len(self.suspects) - 1
         if tag in CONTAINERS:
-            container = len(self.parents)
-            self.parents.append(above[2])
-            self.depth.append(self.depth[above[2]] + 1)
-            self.within.append(self.inside("article") or tag != "article" and self.inside("main"))
+            self.parents.append(container)
+            self.depth.append(self.depth[container] + 1)
+            self.within.append(self.open["article"] > 0 or tag != "article" and self.open["main"] > 0)
+            container = len(self.parents) - 1
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
-        self.stack.append((tag, unwanted, container))
+        self.open[tag] += 1
+        self.stack.append((tag, unwanted, container, suspect))
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -109,6 +123,8 @@ class Lines(HTMLParser):
             return
         if tag in BLOCKS:
             self.cut()
+        if not self.open[tag]:
+            return
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
                 self.drop(k)
@@ -130,14 +146,12 @@ class Lines(HTMLParser):
                 self.linked += len(data)
 
     def drop(self, k: int) -> None:
-        for tag, _, _ in self.stack[k:]:
+        for tag, *_ in self.stack[k:]:
             self.hidden -= tag in HIDDEN
             self.links -= tag == "a"
+            self.open[tag] -= 1
         del self.stack[k:]
 
-    def inside(self, tag: str) -> bool:
-        return any(x[0] == tag for x in self.stack)
-
     def close_head(self, tag: str) -> None:
         """The end of a head may be left out: what cannot stand in it, or text, ends it, and a body always."""
         if not self.hidden or tag in IN_HEAD:
@@ -160,6 +174,8 @@ class Lines(HTMLParser):
                 return
 
     def close_until(self, tags: set[str], fence: set[str]) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] in tags:
                 self.cut()
@@ -177,6 +193,36 @@ def smooth(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratio)), kernel)[reach : reach + len(ratio)]
 
 
+def never_content(page: Lines) -> list[bool]:
+    """Of each line whether it can't be content: it is unwanted, or in a suspect that is mostly links."""
+    chars, linked = [0] * len(page.suspects), [0] * len(page.suspects)
+    for text, in_links, _, _, unwanted, suspect in page.lines:
+        if not unwanted:
+            chars[suspect] += len(text)
+            linked[suspect] += in_links
+    for k in range(len(page.suspects) - 1, 0, -1):  # what holds a suspect comes before it
+        chars[page.suspects[k]] += chars[k]
+        linked[page.suspects[k]] += linked[k]
+    out = [False] * len(page.suspects)
+    for k in range(1, len(page.suspects)):
+        out[k] = out[page.suspects[k]] or 2 * linked[k] > chars[k]
+    return [unwanted or out[suspect] for *_, unwanted, suspect in page.lines]
+
+
+def region_of(seeds: list[int], parents: list[int], depth: list[int], within: list[bool]) -> int:
+    """The innermost container of all ``seeds`` that isn't inside an article or main.
+
+    ``seeds`` are the containers of the seed lines.  An article or main is not looked into, but for an
+    article in a main: its sections belong together.
+    """
+    held = [0] * len(parents)
+    for node in seeds:
+        held[node] += 1
+    for node in range(len(parents) - 1, 0, -1):  # a container comes after the one that holds it
+        held[parents[node]] += held[node]
+    return max((n for n, c in enumerate(held) if c == len(seeds) and not within[n]), key=depth.__getitem__, default=0)
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The blocks of the content region in page order, joined by two line ends."""
     page = Lines()
@@ -186,28 +232,19 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     lines = page.lines
     if not lines:
         return ""
-    ratio = np.array([0.0 if x[4] else (len(x[0]) - x[1]) / max(x[2], 1) for x in lines])
+    never = never_content(page)
+    ratio = np.array([0.0 if no else (len(x[0]) - x[1]) / max(x[2], 1) for x, no in zip(lines, never)])
     found = smooth(ratio, sigma)
     seeds = (found >= min(found.std(), found.max())) & (ratio > 0)
     if not seeds.any():
         seeds = ratio > 0
-    held: dict[int, int] = {}  # seeds of each container
-    for k in np.flatnonzero(seeds):
-        node = lines[k][3]
-        while node >= 0:
-            held[node] = held.get(node, 0) + 1
-            node = page.parents[node]
-    if not held:
+    if not seeds.any():
         return ""
-    # An article or main is not looked into, but for an article in a main: its sections belong together.
-    region = max((n for n, c in held.items() if c == seeds.sum() and not page.within[n]), key=page.depth.__getitem__, default=0)
-
-    def within(node: int) -> bool:
-        while node > region:
-            node = page.parents[node]
-        return node == region
-
-    return "\n\n".join(x[0] for x in lines if not x[4] and within(x[3]))
+    region = region_of([lines[k][3] for k in np.flatnonzero(seeds)], page.parents, page.depth, page.within)
+    inside = [node == region for node in range(len(page.parents))]
+    for node in range(1, len(inside)):
+        inside[node] = inside[node] or inside[page.parents[node]]
+    return "\n\n".join(x[0] for x, no in zip(lines, never) if not no and inside[x[3]])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 import html as entities
+import random
 import re
+import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 from rows import SF
 
-from ratewell.llm.html_text import extract_text, main_text
+from ratewell.llm.html_text import extract_text, main_text, region_of
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body>
 <header class="site"><h1>Site name</h1><nav><a href=/>Home</a></nav></header>
@@ -63,6 +65,40 @@ def test_omitted_end_tags(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, texts", [
+    (f"<main><header><h1>Title</h1></header><p>{LONG}</p></main>", ["Title", LONG]),
+    (f'<article><p>{LONG}</p><section class="related-work"><p>{SHORT}</p></section><section id="share-prices">{SHORT}</section></article>', [LONG, SHORT, SHORT]),
+    (f'<article><p>{LONG}</p><div class="related-posts">See <a href=x>one more post</a> <a href=y>and another</a></div></article>', [LONG]),
+    (f'<article><p>{LONG}</p><div class="share">{SHORT}<div class="social"><a href=x>{SHORT * 2}</a></div></div></article>', [LONG]),
+    (f'<article><p>{LONG}</p><div class="ad-slot-2">Buy this</div><div class="x reader-comments">{SHORT}</div><p class="notice">Note</p></article>', [LONG]),
+    (f'<article><p>{LONG}</p><p class="comments-on-method">{SHORT}</p></article>', [LONG, SHORT]),
+    (f'<div class="related-work">{LONG}</div><div>{SHORT}</div>', [SHORT]),
+])
+def test_names_inside_an_article(page, texts):
+    assert main_text(page).split("\n\n") == [x.strip() for x in texts]
+
+
+def test_region_is_that_of_a_plain_search():
+    rng = random.Random(2)
+    for _ in range(500):
+        n = rng.randint(1, 30)
+        parents = [-1] + [rng.randrange(k) for k in range(1, n)]
+        above = lambda k: [k, *(above(parents[k]) if k else [])]
+        depth = [len(above(k)) for k in range(n)]
+        within = [False] + [rng.random() < 0.3 for _ in range(1, n)]
+        seeds = [rng.randrange(n) for _ in range(rng.randint(1, 4))]
+        common = [k for k in range(n) if all(k in above(s) for s in seeds) and not within[k]]
+        assert region_of(seeds, parents, depth, within) == max(common, key=lambda k: depth[k])
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 16_000 + "deep" + "</div>" * 16_000, "<div>" * 16_000 + "deep" + "</section>" * 16_000, "<article>" * 8_000 + "<p>deep" * 8_000,
+])
+def test_many_nested_tags_take_little_time(page):
+    began = time.process_time()
+    assert main_text(page).startswith("deep") and time.process_time() - began < 1
+
+
 def article(page):
     body = re.sub("<br>", " ", re.search("<article>(.*?)</article>", page, re.S)[1])
     blocks = [" ".join(entities.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body)]
