@@ -209,7 +209,10 @@ def near_words(vocabulary: DataFrame, bits_each: int, most_bits: int) -> DataFra
     lengths = {row["size"]: row["words"] for row in sizes.collect()}  # at most LONGEST rows
     if not lengths:
         return spark.createDataFrame([], "word string, n long, near string, near_n long")
-    slices = max(1, -(-sum(lengths.values()) * bits_each // most_bits))
+    total = sum(lengths.values())
+    slices = max(1, -(-total * bits_each // most_bits))
+    # Probing takes long for the bytes it reads, so a task gets a bounded number of words.
+    dealt = vocabulary.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 50_000), "word")
     threes = letter_threes(vocabulary)
     schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("near", pa.string())])
     found = None
@@ -228,7 +231,7 @@ def near_words(vocabulary: DataFrame, bits_each: int, most_bits: int) -> DataFra
                         mine = batch.take(pa.array(rows[row]))
                         yield batch_of(schema, *mine.columns, [w.decode("latin-1") for w in near])
 
-        made = stage(vocabulary.select("word", "n").mapInArrow(probe, "word string, n long, near string"))
+        made = stage(dealt.select("word", "n").mapInArrow(probe, "word string, n long, near string"))
         shared.destroy()
         found = made if found is None else found.union(made)
     # Of the positives the false ones are in no vocabulary.
