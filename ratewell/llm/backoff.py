@@ -4,7 +4,8 @@ States are the contexts that occur in training text, the empty one among them.
 every token seen after it, weighted with the log-probability of the smoothed n-gram, and a failure arc
 to the state of the next shorter context, weighted with what smoothing leaves for unseen tokens.  A text
 is read once from left to right: the state carried is the longest context that the model has, a token
-takes its arc or, through failure arcs, the arc of a shorter context.
+takes its arc or, through failure arcs, the arc of a shorter context.  The texts of a block are read side
+by side, a token of each at a step.
 
 Smoothing: p(w | u) = (c(u, w) + m * p(w | shorter u)) / (c(u) + m); the empty context has additive
 smoothing with one more token for all unknown ones, so every state's probabilities sum to one.
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import batch_of, crc_of_id
+from ratewell.llm.common import batch_of, crc_of_id, parts_for
 from ratewell.llm.words import mix, words_of
 from ratewell.staging import stage
 
@@ -81,38 +82,91 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def walk(grams: Grams, counts: list[np.ndarray], total: int, words: int, strength: float) -> np.ndarray:
-    """The log10 probability of every token but the begin marks, which get 0.
+@dataclass(frozen=True)
+class Automaton:
+    """States are numbers, 0 the empty context.
+
+    ``fail`` and ``penalty``: the state that a state's failure arc leads to and the arc's weight.  ``arcs``
+    are ascending, state times ``tokens`` plus token; ``weight`` and ``target`` belong to them.  Weights are
+    log10 probabilities.  State 0 has an arc for every token, so every walk ends there at last.
+    """
+
+    start: int
+    tokens: int
+    fail: np.ndarray
+    penalty: np.ndarray
+    arcs: np.ndarray
+    weight: np.ndarray
+    target: np.ndarray
+
+
+def automaton(grams: Grams, counts: list[np.ndarray], total: int, words: int, strength: float) -> Automaton:
+    """The part of the model's automaton that these texts can reach; ``counts[k]`` belongs to ``grams.keys[k]``.
 
-    ``counts[k]`` belongs to ``grams.keys[k]``.  Weights are made for distinct n-grams, shortest first;
-    then every token takes its arc from the state before it or follows failure arcs down to one.
+    Contexts of fewer tokens than the order that occur in training are states.  The arc of a context and
+    a token leads to the longest state that ends them.
     """
-    floor = total + EXTRA * (words + 1)
-    chance = [(counts[0] + EXTRA) / floor]
-    fails: list[np.ndarray] = [np.zeros(0)]
-    n = len(grams.at[0])
+    order, tokens = len(grams.keys), len(grams.keys[0])
     before = [np.concatenate([[-1], a[:-1]]) for a in grams.at]
-    for k in range(1, len(grams.keys)):
-        sample = np.zeros(len(grams.keys[k]), np.int64)
+    state, upto = [], 1  # of every n-gram that is a context, 0 for one that doesn't occur in training
+    for k in range(order - 1):
+        there = counts[k] > 0
+        state.append(np.where(there, upto - 1 + np.cumsum(there), 0))
+        upto += int(there.sum())
+    fail, penalty = np.zeros(upto, np.int64), np.zeros(upto)
+    chance = (counts[0] + EXTRA) / (total + EXTRA * (words + 1))
+    arcs, weight = [np.arange(tokens)], [np.log10(chance)]
+    target = [state[0] if state else np.zeros(tokens, np.int64)]
+    for k in range(order):
+        sample = np.zeros(len(grams.keys[k]), np.int64)  # a place where the n-gram ends
         inside = np.flatnonzero(grams.at[k] >= 0)
         sample[grams.at[k][inside]] = inside
-        context = counts[k - 1][before[k - 1][sample]]
-        shorter = chance[k - 1][grams.at[k - 1][sample]]
-        chance.append((counts[k] + strength * shorter) / (context + strength))
-        fails.append(np.log10(strength / (counts[k - 1] + strength)))
-    score, waiting = np.zeros(n), np.ones(n, bool)
-    waiting[grams.first[:-1]] = False
-    for k in range(len(grams.keys) - 1, 0, -1):
-        state = before[k - 1]
-        there = waiting & (grams.at[k] >= 0)
-        there[there] = counts[k - 1][state[there]] > 0
-        arc = there.copy()
-        arc[there] = counts[k][grams.at[k][there]] > 0
-        score[arc] += np.log10(chance[k][grams.at[k][arc]])
-        waiting &= ~arc
-        missed = there & ~arc
-        score[missed] += fails[k][state[missed]]
-    score[waiting] += np.log10(chance[0][grams.at[0][waiting]])
+        if k:
+            context, shorter = before[k - 1][sample], grams.at[k - 1][sample]
+            chance = (counts[k] + strength * chance[shorter]) / (counts[k - 1][context] + strength)
+            seen = counts[k] > 0
+            arcs.append(state[k - 1][context[seen]] * tokens + grams.at[0][sample[seen]])
+            weight.append(np.log10(chance[seen]))
+            target.append(state[k][seen] if k < order - 1 else state[k - 1][shorter[seen]])
+        if k < order - 1:
+            own = counts[k] > 0
+            if k:
+                fail[state[k][own]] = state[k - 1][shorter[own]]
+            penalty[state[k][own]] = np.log10(strength / (counts[k][own] + strength))
+    arcs, weight, target = map(np.concatenate, (arcs, weight, target))
+    by = np.argsort(arcs)
+    begin = np.searchsorted(grams.keys[0], BEGIN)
+    start = int(state[0][begin]) if state and begin < tokens and grams.keys[0][begin] == BEGIN else 0
+    return Automaton(start, tokens, fail, penalty, arcs[by], weight[by], target[by])
+
+
+def walk(grams: Grams, counts: list[np.ndarray], total: int, words: int, strength: float) -> np.ndarray:
+    """The log10 probability of every token but the begin marks, which get 0.
+
+    All texts are read from left to right together, a token of each at a step.  A text carries its state;
+    its token takes the state's arc or, through failure arcs, that of the first state that has one.
+    """
+    model = automaton(grams, counts, total, words, strength)
+    token, score = grams.at[0], np.zeros(len(grams.at[0]))
+    sizes = np.diff(grams.first)
+    longest = np.argsort(-sizes, kind="stable")
+    reading = np.searchsorted(-sizes[longest], -np.arange(sizes.max(initial=1)), "left")  # texts of more tokens than a step's number
+    state = np.full(len(sizes), model.start)
+    first = grams.first[:-1][longest]
+    for step in range(1, sizes.max(initial=1)):
+        n = reading[step]
+        at = first[:n] + step
+        now, open_ = state[:n], np.arange(n)
+        while len(open_):
+            want = now[open_] * model.tokens + token[at[open_]]
+            place = np.minimum(np.searchsorted(model.arcs, want), len(model.arcs) - 1)
+            found = model.arcs[place] == want
+            took, missed = open_[found], open_[~found]
+            score[at[took]] += model.weight[place[found]]
+            now[took] = model.target[place[found]]
+            score[at[missed]] += model.penalty[now[missed]]
+            now[missed] = model.fail[now[missed]]
+            open_ = missed
     return score
 
 
@@ -131,7 +185,7 @@ def score_texts(docs: DataFrame, order: int = 2, strength: float = 100.0, fold:
         (crc_of_id(F.col("doc_id")) % fold == 0).alias("held_out"),
     )
     size = whole.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    blocks = parts_for(spark, size, block_bytes)
     parts = max(1, -(-size * order // (24 << 20)))
     whole = whole.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     asked = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("k", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
