@@ -119,6 +119,11 @@ def leaks(words: np.ndarray, items: dict, shortest: int, share: float) -> list[t
         item = items["words"][items["first"][k] : items["first"][k + 1]]
         size = min(shortest, len(words))
         covered = np.unique((where[low:high, None] + np.arange(size)).ravel())
+        # Tiles lie on words under shared seeds, in the text and in the item: too few of either and none are laid.
+        shared = np.isin(shingle_hashes(item, shortest), hashes[where[low:high]])
+        under = np.convolve(shared, np.ones(min(shortest, len(item)))) > 0.5
+        if min(len(covered), under.sum()) < share * len(item):
+            continue
         # Words of the text outside seeds can be in no tile; a gap is one blocked place.
         jump = np.flatnonzero(np.diff(covered) > 1) + 1
         text = np.insert(words[covered], jump, np.uint64(0))
