@@ -249,8 +249,12 @@ def _split_sql(source: str, keys: str, sums: str) -> str:
     ),
 )
 def build_census_denominator(t):
+    located = build.episode_events(
+        t.episodes(), t.diagnoses(), t.places(), t.demographic(), t.dates(),
+        enrichment.FIRST_MONTH, enrichment.LAST_MONTH, GEOGRAPHY.authorities,
+    )
     return build.census_denominator(
-        enrichment.detailed(t), t.places(), t.small_areas(), t.footprint(), t.ages(),
+        located, t.small_areas(), t.footprint(), t.ages(),
         t.ethnicities(), t.geography(), build.Indicator(10, 4, LOADED), outside=OUTSIDE,
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -182,6 +183,11 @@ def with_episode_details(
         F.lit(None).cast("string").alias("ethnicity"),
         "__raw",
     )
+    return _described(detailed, demographic, dates_table)
+
+
+def _described(detailed: DataFrame, demographic: DataFrame, dates_table: DataFrame) -> DataFrame:
+    """Ethnicity, local before the extract's own, and financial year of detailed events."""
     known = lookup.fill_from(
         detailed, [(demographic, None)], ["person_id"], {"ethnicity": "ethnic_code"}, crowded=True
     )
@@ -205,9 +211,67 @@ def with_places(events: DataFrame, places: DataFrame) -> DataFrame:
     return placed.withColumns({c: F.when(F.col("historic") == flag, F.col(c)) for c, flag in own.items()})
 
 
-def census_denominator(
-    events: DataFrame,
+def episode_events(
+    episodes: DataFrame,
+    diagnoses: DataFrame,
     places: DataFrame,
+    demographic: DataFrame,
+    dates_table: DataFrame,
+    first_month: int,
+    last_month: int,
+    areas: list[str],
+    diagnosis_codes: list[str] = SELF_HARM_CODES,
+) -> DataFrame:
+    """The events of ``cohort`` and ``numerator_events`` with details and small areas, in one aggregation.
+
+    All that the sources know of an episode is brought together by its id at once, so the id is shuffled
+    once, not for each of the steps.  ``episodes`` holds all extracts, told apart by ``historic`` (0 or 1).
+    """
+    own = ["person_id", "age", "reconciliation_month"]
+    in_time, in_place = select.in_period(
+        F.col("reconciliation_month"), first_month, last_month, F.col("area_code"), areas
+    )
+    admitted, coded = select.coded_events(
+        F.col("admission_method"), F.col("order_in_spell"), F.col("diagnosis_code"), diagnosis_codes
+    )
+    known = [
+        episodes.select(
+            "episode_id", "historic", *own, "ethnic_category", in_time.alias("__timed"), admitted.alias("__admitted")
+        ),
+        diagnoses.filter(coded).select("episode_id", F.lit(True).alias("__coded")),
+        places.select("episode_id", in_place.alias("__resident"), "lsoa_2021", "lsoa_2011"),
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), known)
+    of = {flag: F.col("historic") == flag for flag in (0, 1)}
+    profile = stacked.filter(F.col("episode_id").isNotNull()).groupBy("episode_id").agg(
+        *[F.max(F.col(c)).alias(c) for c in ("__coded", "__resident")],
+        *[F.min(c).alias(c) for c in ("lsoa_2021", "lsoa_2011")],
+        F.min(F.when(of[0], F.col("ethnic_category"))).alias("__raw"),
+        *[F.max(of[flag] & F.col(c)).alias(f"{c}_{flag}") for flag in of for c in ("__timed", "__admitted")],
+        *[F.min(F.when(of[flag], F.col(c))).alias(f"__{c}_{flag}") for flag in of for c in own],
+    )
+    found = [
+        F.when(
+            F.col(f"__timed_{flag}") & F.col(f"__admitted_{flag}"),
+            F.struct(
+                F.lit(flag).alias("historic"),
+                *[F.col(f"__{c}_{flag}").alias("time_period" if c == "reconciliation_month" else c) for c in own],
+                *[
+                    (F.col(c) if flag == place else F.lit(None).cast("string")).alias(c)
+                    for c, place in (("lsoa_2021", 0), ("lsoa_2011", 1))
+                ],
+            ),
+        )
+        for flag in of
+    ]
+    events = profile.filter(F.col("__coded") & F.col("__resident")).select(
+        "episode_id", "__raw", F.inline(F.array_compact(F.array(*found)))
+    )
+    return _described(events.withColumn("ethnicity", F.lit(None).cast("string")), demographic, dates_table)
+
+
+def census_denominator(
+    located: DataFrame,
     small_areas: dict[str, DataFrame],
     footprint: DataFrame,
     ages: DataFrame,
@@ -217,11 +281,11 @@ def census_denominator(
     outside: str | None = None,
     geography: Geography = GEOGRAPHY,
 ) -> DataFrame:
-    """Facts of detailed events by place of residence; the denominator comes at staging.
+    """Facts of events with their small areas by place of residence; the denominator comes at staging.
 
-    ``small_areas`` are the lookups of ``with_small_area`` by argument name.
+    ``located`` comes from ``episode_events``, or step by step from ``with_places``; ``small_areas`` are the
+    lookups of ``with_small_area`` by argument name.
     """
-    located = with_places(events, places)
     placed = lookup.keep_footprint(lookup.with_small_area(located, **small_areas), footprint)
     start, end = dates.fy_bounds(F.col("financial_year"))
     coded = lookup.with_age_codes(placed, ages)

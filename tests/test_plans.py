@@ -1,11 +1,14 @@
+import os
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from ratewell.catalog import enrichment
+from ratewell.catalog.tables import Tables
 from ratewell.operators.joins import local_table
 from ratewell.plans import build, calculate, population, quality
-from ratewell.schema import CODES, FACT_SCHEMA, PROCESSED_SCHEMA, TIDY_COLS, TIDY_SCHEMA
+from ratewell.schema import CODES, FACT_SCHEMA, GEOGRAPHY, PROCESSED_SCHEMA, TIDY_COLS, TIDY_SCHEMA
 from ratewell.sources.reference import age_groups
 
 TODAY = date(2026, 6, 30)
@@ -239,3 +242,17 @@ def test_person_with_two_source_ethnicities_counts_once(spark):
 
 def test_codes_are_the_published_ones():
     assert (CODES.all_persons, CODES.unknown) == (999, -99)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_events_are_shuffled_by_episode_once(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    whole = build.episode_events(
+        t.episodes(), t.diagnoses(), t.places(), t.demographic(), t.dates(),
+        enrichment.FIRST_MONTH, enrichment.LAST_MONTH, GEOGRAPHY.authorities,
+    )
+    stepwise = build.with_places(enrichment.detailed(t), t.places())
+    columns = ["episode_id", "historic", "person_id", "age", "financial_year", "ethnicity", "lsoa_2021", "lsoa_2011"]
+    assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, stepwise.select(columns).collect()))
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(episode_id") == 1
