@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from rows import awkward, documents
 
 from ratewell.llm.backoff import grams_of, pack, score_texts, unpack, walk
-from ratewell.llm.quality import score_quality
+from ratewell.llm.quality import NEW, SAME, features_of, logits, score_quality
+from ratewell.llm.words import mix, span_hashes, words_of
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -105,3 +107,32 @@ def test_held_out_labels_are_not_learned(spark):
     one = {r.doc_id: r.score for r in score_quality(docs, labels).collect()}
     two = {r.doc_id: r.score for r in score_quality(docs.repartition(5).drop("lang", "source"), turned).collect()}
     assert all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
+def test_logits_against_brute_force():
+    buckets, rng = 1 << 10, np.random.default_rng(5)
+    weights, bias = rng.normal(size=buckets), 0.25
+    texts = ["", None, "one", "One one  one two", "né à\tnaïve", "aa a aaa aaaa aaaaa", " x\ny  ", "word " * 30 + "other word word"]
+    mask = np.uint64(buckets - 1)
+
+    def hash_of(word):
+        return words_of(pa.array([word]), lower=False).hashes[0]
+
+    def plain(text):
+        found = []
+        words = [w for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
+        for k, w in enumerate(words):
+            found.append(hash_of(w) & mask)
+            data = np.frombuffer(f"<{w}>".encode(), np.uint8)
+            for n in (3, 4):
+                for at in range(len(data) - n + 1):
+                    gram = span_hashes(data[at : at + n], np.array([0]), np.array([n]))
+                    found.append(mix(gram + np.uint64(n))[0] & mask)
+            if k:
+                with np.errstate(over="ignore"):
+                    found.append(mix(np.array([hash_of(words[k - 1]) * np.uint64(3) + hash_of(w)]))[0] & mask)
+                found.append((SAME if words[k - 1] == w else NEW) & mask)
+        return sum(weights[int(f)] for f in found) / max(len(found), 1) + bias
+
+    got = logits(features_of(pa.array(texts), buckets), weights, bias)
+    assert got.tolist() == pytest.approx([plain(t) for t in texts])

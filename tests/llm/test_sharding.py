@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import pytest
@@ -43,3 +44,19 @@ def test_near_equal_bytes_with_a_hot_group(spark):
     for r in shard_by_bytes(documents(spark, rows), shards=24).collect():
         sums[r.shard] = sums.get(r.shard, 0) + r["size"]
     assert len(sums) == 24 and max(sums.values()) - min(sums.values()) <= 2 * 64
+
+
+@pytest.mark.parametrize("shards", [1, 4, 24])
+def test_against_brute_force(spark, shards):
+    rows = awkward()
+    body = lambda t: (t or "").encode()
+    line = sorted(rows, key=lambda r: (hashlib.md5(body(r[1])).hexdigest(), r[0] is not None, r[0] or 0))
+    total, at, slots, expected = sum(len(body(t)) + 8 for _, t in rows), 0, {}, []
+    for doc, text in line:
+        size = len(body(text)) + 8
+        shard = (2 * at + size) * shards // (2 * total)  # where the middle of the row falls
+        expected.append((str(doc), size, zlib.crc32(body(text)), shard, slots.setdefault(shard, 0)))
+        slots[shard] += 1
+        at += size
+    found = shard_by_bytes(documents(spark, rows).repartition(5), shards=shards).collect()
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32, r.shard, r.slot) for r in found) == sorted(expected)
