@@ -118,8 +118,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
     end, width = struct.pack("<I", end_id), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer_path, "words")
-        for batch in in_slices(batches, "text", 4 << 20):
+        coder = encoder(tokenizer_path, "words", keep=500_000)
+        for batch in in_slices(batches, "text", 2 << 20):
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text"))):
                 ids = ids.tobytes() + end

@@ -19,9 +19,9 @@ from ratewell.llm.common import kept_by_worker
 from ratewell.llm.words import Words, spaced_pieces, text_bytes, words_of
 
 
-def encoder(path: str, cut: str, special: bool = True) -> Encoder:
+def encoder(path: str, cut: str, special: bool = True, keep: int = 1_500_000) -> Encoder:
     """The encoder of this worker, with the pieces it knows from earlier tasks."""
-    return kept_by_worker(("encoder", path, cut, special), lambda: Encoder(path, cut, special=special))
+    return kept_by_worker(("encoder", path, cut, special, keep), lambda: Encoder(path, cut, keep, special))
 
 
 class Encoder:

@@ -203,7 +203,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return mix(total + np.uint64(width))
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text, so that memory stays bounded."""
     for batch in batches:
         at, sizes = 0, None
