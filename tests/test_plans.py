@@ -4,7 +4,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ratewell.catalog import enrichment
+from ratewell.catalog import enrichment, run
 from ratewell.catalog.tables import Tables
 from ratewell.operators.joins import local_table
 from ratewell.plans import build, calculate, population, quality
@@ -256,3 +256,12 @@ def test_events_are_shuffled_by_episode_once(spark):
     assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, stepwise.select(columns).collect()))
     plan = whole._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(episode_id") == 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_checks_read_written_rows_in_one_scan(spark):
+    plan = run("all_checks", spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "lineitem" not in plan
+    shown = run("failing_rows", spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    limit = shown.index("WindowGroupLimit", shown.index("WindowGroupLimit") + 1)
+    assert "Exchange" in shown[:limit]  # the limit below the shuffle is taken by each task
