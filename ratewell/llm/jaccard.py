@@ -129,14 +129,12 @@ def heads(docs: DataFrame, order, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(cut, kind)
 
 
-def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
-    """The sets of the ``wanted`` classes, cut at the fragments: class, fragment, segment; each once, as a written table.
+def bit_table(values: DataFrame, column: str) -> np.ndarray:
+    """A table of 2**26 bits that says which values there are, by their last bits; its size doesn't grow.
 
-    Rows of one class have the same segments: a task cuts those of the first, and of what tasks found
-    one stays, so a pair of classes costs no more for having many copies.  Which classes are asked for is a table of 2**26 bits, so its size doesn't grow; a class that only
-    shares a bit with one that is asked for is dropped by the join that follows.
+    What passes it may still be another value with the same last bits, and has to be joined.
     """
-    bits = F.col("class").bitwiseAND((1 << MEMBERS) - 1)
+    bits = F.col(column).bitwiseAND((1 << MEMBERS) - 1)
     schema = pa.schema([("block", pa.int64()), ("bits", pa.binary())])
 
     def collect(some: pa.Table) -> pa.Table:
@@ -145,21 +143,61 @@ def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
         return pa.Table.from_batches([batch_of(schema, [some.column("bit")[0].as_py() >> 16], [np.packbits(held).tobytes()])])
 
     # At most 2**16 distinct bits a block.
-    blocks = wanted.select(bits.alias("bit")).distinct().groupBy(F.shiftright("bit", 16).alias("block"))
-    asked = np.zeros(1 << (MEMBERS - 3), np.uint8)
+    blocks = values.select(bits.alias("bit")).distinct().groupBy(F.shiftright("bit", 16).alias("block"))
+    held = np.zeros(1 << (MEMBERS - 3), np.uint8)
     for row in blocks.applyInArrow(collect, "block long, bits binary").collect():
-        asked[row["block"] << 13 : (row["block"] + 1) << 13] = np.frombuffer(row["bits"], np.uint8)
-    members = docs.sparkSession.sparkContext.broadcast(asked)
+        held[row["block"] << 13 : (row["block"] + 1) << 13] = np.frombuffer(row["bits"], np.uint8)
+    return held
+
+
+def has_bit(held: np.ndarray, values: np.ndarray) -> np.ndarray:
+    bit = values & ((1 << MEMBERS) - 1)
+    return (held[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def postings(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """The n-grams of all heads that several classes have, as a written table: gram, pos, class, n.
+
+    ``shared`` are those n-grams.  The others are left out by a table of bits where they lie, so that
+    few of them are shuffled.
+    """
+    members = rows.sparkSession.sparkContext.broadcast(bit_table(shared, "gram"))
+    schema = pa.schema([("gram", pa.int64()), ("pos", pa.int32()), ("class", pa.int64()), ("n", pa.int64())])
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = members.value
+        for batch in batches:
+            head = batch.column("head")
+            sizes = np.diff(head.offsets.to_numpy())
+            grams = head.flatten().to_numpy()
+            hit = np.flatnonzero(has_bit(held, grams))
+            row = np.repeat(np.arange(len(sizes)), sizes)[hit]
+            pos = hit - (np.cumsum(sizes) - sizes)[row]
+            yield batch_of(schema, grams[hit], pos.astype(np.int32), batch.column("class").to_numpy()[row], batch.column("n").to_numpy()[row])
+
+    found = rows.where("n > 0").select("class", "n", "head").mapInArrow(post, "gram long, pos int, class long, n long")
+    found = stage(found.join(shared, "gram", "left_semi").distinct())
+    members.destroy()
+    return found
+
+
+def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
+    """The sets of the ``wanted`` classes, cut at the fragments: class, fragment, segment, as a written table.
+
+    Rows of one class have the same segments: a task cuts those of the first, and ``once`` leaves one of
+    what tasks found, so a pair of classes costs no more for having many copies.  Classes that only share
+    a bit with one that is asked for may be among them.
+    """
+    members = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, "class"))
     out = pa.schema([("class", pa.int64()), ("fragment", pa.int32()), ("segment", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
+        done, held = set(), members.value
         for batch in in_slices(batches, "text"):
             rows = []
             for found in document_sets(batch, size):
                 kind = class_of(found)
-                bit = kind & ((1 << MEMBERS) - 1)
-                if not len(found) or kind in done or not members.value[bit >> 3] >> (7 - (bit & 7)) & 1:
+                if not len(found) or kind in done or not has_bit(held, np.array([kind]))[0]:
                     continue
                 done.add(kind)
                 placed = place(order.value, found)
@@ -168,32 +206,74 @@ def segments(docs: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
             if rows:
                 yield batch_of(out, *zip(*rows))
 
-    found = docs.select("text").mapInArrow(cut, "class long, fragment int, segment binary")
-    found = stage(found.join(wanted.select("class").distinct(), "class", "left_semi").dropDuplicates(["class", "fragment"]))
+    found = stage(docs.select("text").mapInArrow(cut, "class long, fragment int, segment binary"))
     members.destroy()
     return found
 
 
-def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, na, b, nb) that link: partial overlaps by fragment, summed per pair."""
-    schema = pa.schema([("a", pa.int64()), ("na", pa.int64()), ("b", pa.int64()), ("nb", pa.int64()), ("fragment", pa.int32()), ("common", pa.int64())])
+def once(parts: DataFrame) -> DataFrame:
+    return parts.dropDuplicates(["class", "fragment"])
+
+
+def of_pairs(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The segments of the classes of some pairs, found by a table of bits where they lie."""
+    held = bit_table(classes_of(pairs), "class")
+    members = parts.sparkSession.sparkContext.broadcast(held)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(has_bit(members.value, batch.column("class").to_numpy())))
+
+    return parts.mapInArrow(keep, "class long, fragment int, segment binary")
+
+
+def classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+
+
+def overlaps(pairs: DataFrame, parts: DataFrame, first: int, upto: int) -> DataFrame:
+    """Pairs (a, na, b, nb) with ``common``, their partial overlaps in some fragments, summed, and ``la`` and ``lb``.
+
+    Those are the n-grams that either has in the fragments that both have.  The segments stay where
+    ``once`` put them, for both joins.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "na", "b", "nb", "common", "la", "lb")])
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            common = [
-                len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), True))
-                for x, y in zip(batch.column("sa"), batch.column("sb"))
-            ]
-            yield batch_of(schema, *[batch.column(c) for c in schema.names[:-1]], common)
+            counts = []
+            for x, y in zip(batch.column("sa"), batch.column("sb")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                counts.append((len(np.intersect1d(x, y, True)), len(x), len(y)))
+            yield batch_of(schema, *[batch.column(c) for c in schema.names[:4]], *zip(*counts))
 
+    parts = once(parts.where(F.col("fragment").between(first, upto - 1)))
     left = parts.select(F.col("class").alias("a"), "fragment", F.col("segment").alias("sa"))
     right = parts.select(F.col("class").alias("b"), "fragment", F.col("segment").alias("sb"))
-    both = pairs.join(right, "b").join(left, ["a", "fragment"]).select("a", "na", "b", "nb", "fragment", "sa", "sb")
-    counted = both.mapInArrow(overlap, "a long, na long, b long, nb long, fragment int, common long")
-    total = counted.groupBy("a", "na", "b", "nb").agg(F.sum("common").alias("common"))
+    spread = pairs.select("a", "na", "b", "nb", F.explode(F.sequence(F.lit(first), F.lit(upto - 1))).alias("fragment"))
+    both = spread.join(right, ["b", "fragment"]).join(left, ["a", "fragment"]).select("a", "na", "b", "nb", "sa", "sb")
+    counted = both.mapInArrow(overlap, "a long, na long, b long, nb long, common long, la long, lb long")
+    return counted.groupBy("a", "na", "b", "nb").agg(*[F.sum(c).alias(c) for c in ("common", "la", "lb")])
+
+
+def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """The pairs (a, na, b, nb) that link: partial overlaps by fragment, summed per pair."""
+    total = overlaps(pairs, parts, 0, fragments)
     return total.where(F.expr(f"100 * common >= {percent} * (na + nb - common)")).select("a", "b")
 
 
+def hopeful(pairs: DataFrame, parts: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """The pairs that may still link after the rarest quarter of the fragments.
+
+    Outside it, two sets share no more than the smaller rest.  A pair without a common fragment there
+    is not told apart.
+    """
+    seen = overlaps(pairs, parts, 0, max(1, fragments // 4)).select("a", "b", "common", "la", "lb")
+    most = "(coalesce(common, 0) + least(na - coalesce(la, 0), nb - coalesce(lb, 0)))"
+    kept = pairs.join(seen, ["a", "b"], "left").where(F.expr(f"100 * {most} >= {percent} * (na + nb - {most})"))
+    return kept.select("a", "na", "b", "nb")
+
+
 def alike(percent: int) -> Column:
     """Whether the signatures of a pair differ in no more bits than sets that link may differ in n-grams.
 
@@ -275,9 +355,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, F.coalesce("text", F.lit("")).alias("text"))
     order = spark.sparkContext.broadcast(global_order(docs, size, fragments))
     rows = stage(heads(docs, order, size, percent))
-    posted = rows.where("n > 0").select("class", "n", F.posexplode("head").alias("pos", "gram"))
-    shared = posted.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    posted = stage(posted.join(shared.where("low < high").select("gram"), "gram", "left_semi").distinct())
+    shared = rows.where("n > 0").select("class", F.explode("head").alias("gram")).groupBy("gram")
+    shared = shared.agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("gram")
+    posted = postings(rows, stage(shared))
     signs = rows.where("n > 0").select("class", *SIGNS).dropDuplicates(["class"])
 
     first = posted.groupBy("gram").agg(F.min(F.struct("pos", "class", "n")).alias("f"))
@@ -285,7 +365,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     stars = posted.join(first, "gram").where("class <> class_").where(may_link("n_", "pos_", "n", "pos", percent))
     stars = stars.select("class", "n", "class_", "n_").distinct().join(signs, "class").join(renamed(signs), "class_").where(alike(percent))
     stars = stage(stars.select(F.col("class_").alias("a"), F.col("n_").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")))
-    found = linked_among(docs, stars, order, size, percent)
+    found = stage(linked_pairs(stars, wanted_segments(docs, stars, order, size), percent, fragments))
 
     roots = connected(found)
     named = posted.join(roots, posted["class"] == roots["node"], "left")
@@ -301,13 +381,15 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     crossed = stage(crossed.join(done, ["a", "b"], "left_anti"))
     if not crossed.isEmpty():
         parts = wanted_segments(docs, crossed, order, size)
+        crossed = stage(hopeful(crossed, parts, percent, fragments))
+        parts = of_pairs(parts, crossed)
         # One pair for each class and component first: where it links, the others need no counting.
         some = stage(one_partner(apart(crossed, roots)))
-        found = found.union(stage(linked_pairs(some, parts, percent)))
+        found = found.union(stage(linked_pairs(some, parts, percent, fragments)))
         roots = connected(found)
         rest = stage(apart(crossed.join(some.select("a", "b"), ["a", "b"], "left_anti"), roots).select("a", "na", "b", "nb"))
         if not rest.isEmpty():
-            found = found.union(stage(linked_pairs(rest, parts, percent)))
+            found = found.union(stage(linked_pairs(rest, parts, percent, fragments)))
             roots = connected(found)
     order.destroy()
 
@@ -324,15 +406,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, fragme
     )
 
 
-def linked_among(docs: DataFrame, pairs: DataFrame, order, size: int, percent: int) -> DataFrame:
-    """The links among candidate pairs, as a written table."""
-    return stage(linked_pairs(pairs, wanted_segments(docs, pairs, order, size), percent))
-
-
 def wanted_segments(docs: DataFrame, pairs: DataFrame, order, size: int) -> DataFrame:
     """The segments of all classes in some pairs, as a written table."""
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    return segments(docs, wanted, order, size)
+    return segments(docs, classes_of(pairs), order, size)
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from rows import awkward, documents, near_copies, words
 
 from ratewell.llm import jaccard
 from ratewell.llm.components import connected
-from ratewell.llm.jaccard import SIGNS, global_order, heads, jaccard_components, linked_pairs, wanted_segments
+from ratewell.llm.jaccard import SIGNS, global_order, heads, hopeful, jaccard_components, linked_pairs, of_pairs, once, wanted_segments
 
 
 def sets_of(rows, size):
@@ -88,8 +88,9 @@ def test_copies_bring_their_segments_once(spark):
     one, two = found.select("class", "n").distinct().collect()
     pairs = spark.createDataFrame([(one["class"], one["n"], two["class"], two["n"])], "a long, na long, b long, nb long")
     parts = wanted_segments(docs, pairs, order, 4)
-    assert 2 <= parts.count() == parts.select("class", "fragment").distinct().count() <= 8
-    assert [(r.a, r.b) for r in linked_pairs(pairs, parts, 85).collect()] == [(one["class"], two["class"])]
+    assert 2 <= once(parts).count() == parts.select("class", "fragment").distinct().count() <= 8 and parts.count() <= 4 * 8
+    assert [(r.a, r.b) for r in linked_pairs(pairs, parts, 85, 4).collect()] == [(one["class"], two["class"])]
+    assert hopeful(pairs, of_pairs(parts, pairs), 85, 4).count() == 1
     assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
 
 
@@ -131,6 +132,21 @@ def test_components_where_all_pairs_go_by_size(spark, monkeypatch):
     assert found_by(spark, rows, 4, 85) == brute(rows, 4, 85)
 
 
+def test_pairs_that_the_rare_fragments_tell_apart(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(w)) for k, w in enumerate(near_copies(rng, words(rng, 400, 9000), 6, 8))]
+    rows += [(10 + k, " ".join(words(rng, 400, 9000))) for k in range(6)]
+    docs = documents(spark, rows)
+    order = spark.sparkContext.broadcast(global_order(docs, 4, 16))
+    found = heads(docs, order, 4, 85).select("doc_id", "class", "n").collect()
+    pairs = [(x["class"], x.n, y["class"], y.n) for x in found for y in found if x.doc_id < y.doc_id]
+    pairs = spark.createDataFrame(pairs, "a long, na long, b long, nb long")
+    parts = wanted_segments(docs, pairs, order, 4)
+    kept = {(r.a, r.b) for r in hopeful(pairs, parts, 85, 16).collect()}
+    linked = {(r.a, r.b) for r in linked_pairs(pairs, parts, 85, 16).collect()}
+    assert linked and linked <= kept and len(kept) < 40 < pairs.count()
+
+
 def test_empty_table(spark):
     assert jaccard_components(documents(spark, [])).collect() == []
 
