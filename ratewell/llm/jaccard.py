@@ -35,7 +35,7 @@ BLOCK = 14
 WIDTH = 8  # words of 64 bits of a class's signature
 SIGNS = [f"s{k}" for k in range(WIDTH)]
 SEVERAL = 64  # classes of an n-gram up to which all are compared without regard to size
-EXACT = 128  # sizes below have a band each
+BANDS = 16  # of sizes, for a factor of e
 MEMBERS = 26  # bits of the table that says which classes are asked for
 
 
@@ -300,8 +300,12 @@ def may_link(na: str, pa_: str, nb: str, pb: str, percent: int) -> Column:
 
 
 def band(n: Column) -> Column:
-    """Ranges of sizes, in order: one for each below ``EXACT``, from there about 64 for a factor of e."""
-    return F.when(n < EXACT, n).otherwise(F.floor(F.log(n / EXACT) * 64) + EXACT).cast("long")
+    """Ranges of sizes, in order.
+
+    A set is put into all bands that it may link with, four or five: finer ones would repeat it more
+    often, and what coarser ones let meet is told apart where it meets.
+    """
+    return F.floor(F.log(n.cast("double")) * BANDS).cast("long")
 
 
 def by_size(posted: DataFrame, percent: int, longer: bool) -> DataFrame:
