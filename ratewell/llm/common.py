@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 from typing import Any
 from uuid import uuid4
@@ -52,6 +53,21 @@ def parts_for(spark: SparkSession, size: int, per_part: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // per_part))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches of about ``size`` bytes, so texts of any length take little memory.
+
+    An executor holds a batch several times: as vectors of doubling size and in the worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import batch_of
+from ratewell.llm.common import batch_of, small_batches
 from ratewell.llm.tokens import encoder
 from ratewell.llm.words import in_slices
 from ratewell.staging import stage
@@ -119,7 +119,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_path, "words", keep=500_000)
-        for batch in in_slices(batches, "text", 2 << 20):
+        for batch in in_slices(batches, "text"):
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text"))):
                 ids = ids.tobytes() + end
@@ -140,7 +140,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     as often as they occur; a null doc_id ranks first; an empty table gives no rows.
     """
     spark = pieces.sparkSession
-    pieces = stage(pieces)  # ranges are drawn from a first reading, which must not encode again
+    with small_batches(spark):
+        pieces = stage(pieces)  # ranges are drawn from a first reading, which must not encode again
     line = ["length", "doc_id", "piece", "ids_crc32"]
     ranged = stage(pieces.repartitionByRange(*line).withColumn("part", F.spark_partition_id()))
     found = ranged.groupBy("length", "part").count().orderBy("length", "part").collect()

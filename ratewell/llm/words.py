@@ -8,6 +8,8 @@ long words in the order of Thue and Morse would collide under any base modulo 2*
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -203,8 +205,19 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         return mix(total + np.uint64(width))
 
 
+def give_back() -> None:
+    """Give this process's free memory back to the system, where its C library can.
+
+    A Python worker lives on after its task, beside all that its executor does next.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of text, so that memory stays bounded."""
+    """The same rows in batches of about ``limit`` bytes of text, so that memory stays bounded; then free memory goes back."""
     for batch in batches:
         at, sizes = 0, None
         col = batch.column(column)
@@ -219,3 +232,5 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 <<
             upto = max(at + 1, int(np.searchsorted(total, base + limit, "right")))
             yield batch.slice(at, upto - at)
             at = upto
+    batch = col = sizes = total = None
+    give_back()

@@ -8,11 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 from rows import awkward, documents
 
+from ratewell.llm import packing, words
 from ratewell.llm.packing import pack_pieces, plan_bins, token_pieces
 from ratewell.llm.queries import BYTE_BPE, WORD_BPE
 from ratewell.llm.token_files import read_token_files, with_starts, write_token_files
 from ratewell.llm.tokens import Encoder
 from ratewell.llm.words import words_of
+from ratewell.staging import stage
 
 ODD = [
     "", " ", "  a  b ", "a\n\n b", "a\x1c b \x85 c  d", "it's 's <|endoftext|> x", "é ́a", "  x\ty", "İI ΑΣ ", "12３ 4",
@@ -39,6 +41,33 @@ def test_pieces_give_the_ids_of_the_whole(path, cut, keep):
         assert a.tolist() == b.tolist(), repr(text)
 
 
+def test_texts_are_encoded_in_small_batches(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    def recorded(df):
+        long = spark.range(0, 64, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+        seen.append(max(r.bytes for r in long.mapInArrow(sizes, "bytes long").collect()))
+        return stage(df)
+
+    monkeypatch.setattr(packing, "stage", recorded)
+    pack_pieces(token_pieces(documents(spark, [(1, "some words")]), WORD_BPE).drop("ids")).collect()
+    assert seen[0] < 8 << 20 and spark.conf.get(key) == before
+
+
+def test_memory_goes_back_after_the_last_slice(monkeypatch):
+    calls = []
+    monkeypatch.setattr(words, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["ab cd"] * 100)], ["text"])
+    assert sum(b.num_rows for b in words.in_slices(iter([batch, batch]), "text", 50)) == 200 and calls == [1]
+    monkeypatch.undo()
+    words.give_back()
+
+
 def thue_morse(n):
     return "".join("ab"[bin(k).count("1") % 2] for k in range(n))
 
