@@ -31,6 +31,10 @@ _VISIBLE = np.arange(256) > 0x20
 _VISIBLE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
+_KIND = np.zeros(256, np.uint8)  # 1 letters, 2 digits, 3 other visible characters of ASCII, 0 the rest
+_KIND[0x21:0x7F] = 3
+_KIND[0x30:0x3A] = 2
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _ODD = [np.empty(0, np.uint64)]
 
@@ -192,6 +196,37 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = True, marks: bool
     return Words(hashes, first, data, start, end)
 
 
+def parted_words(column: pa.Array | pa.ChunkedArray) -> Words:
+    """The words of every text, cut further between letters, digits and visible ASCII marks that stand side by side.
+
+    Letters are those of ASCII and Latin-1.  No cut is made beside another character, nor between an
+    apostrophe and a letter.  A-Z before ASCII are lower-cased in ``data``; a mark beyond ASCII may
+    join the letter before it, and not every pair has both cases.
+    """
+    raw, bounds = text_bytes(column)
+    n = len(raw)
+    if not n:
+        none = np.empty(0, np.int64)
+        return Words(np.empty(0, np.uint64), np.zeros(len(bounds), np.int64), raw, none, none)
+    kind = _KIND[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]  # signs of times and division
+    kind[lead] = kind[lead + 1] = 1
+    word = ~_SPACE[raw]
+    cut = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & ~((raw[:-1] == 0x27) & (kind[1:] == 1))
+    begins, ends = word.copy(), word.copy()
+    begins[1:] &= ~word[:-1] | cut
+    ends[:-1] &= ~word[1:] | cut
+    inner = bounds[1:-1]
+    inner = inner[(inner > 0) & (inner < n)]
+    begins[inner], ends[inner - 1] = word[inner], word[inner - 1]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    data = _LOWER[raw]
+    if len(odd := np.flatnonzero(raw[1:] >= 0x80)):
+        data[odd] = raw[odd]
+    return Words(word_hashes(data, start, end), np.searchsorted(start, bounds), data, start, end)
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """The hash of every run of ``size`` words, or of all words as one if there are fewer."""
     n = len(words)

@@ -1,4 +1,5 @@
 import glob
+import json
 import random
 import zlib
 
@@ -41,6 +42,49 @@ def test_pieces_give_the_ids_of_the_whole(path, cut, keep):
         assert a.tolist() == b.tolist(), repr(text)
 
 
+def test_words_and_their_marks_are_learned_once():
+    rng = random.Random(8)
+    some = ["".join(rng.choice("abcdeéñß") for _ in range(9)) for _ in range(50)]
+    marks = ["", ".", ",", "&&&", "***", ")", "-12", ";7", "'"]
+    texts = [" ".join(rng.choice("(\"#") + w + m for w in some) + " " + " ".join(w[:1].upper() + w[1:] + m for w in some) for m in marks]
+    encoder = Encoder(WORD_BPE, "words")
+    found = encoder.encode(pa.array(texts))
+    assert [a.tolist() for a in found] == [b.tolist() for b in plain(WORD_BPE, texts)]
+    assert len(encoder.known) <= 2 * len(some) + 40  # words as they stand between spaces: some 800
+
+
+def test_cuts_inside_words_change_no_id():
+    """Contractions, letters that marks beyond ASCII join, letters of one case alone, numbers, signs of every kind."""
+    rng = random.Random(12)
+    texts = ["J\u030c T\u0308 J\u030cx H\u0331. x\u0301,", "a\u00d7b\u00f7c", "don't 'TIS '' 's's ''s x.'S 'é l'été 'l 'll 'LL", "·a ·. —, .— a—b", "\x01a \x1c. a\x7fb", "A\u0300À\u0301 ª º µ² ½3 1½", "Σ. ΑΣ aΣ Σa İ ŉ ﬁ. ẞa"]
+    letters = "ab'sStTlLvVreEmMdD09.,-é\u0301ÉÀß×÷Σ—½ \x01\x1c\x85\xa0\u200bJ\u030c日"
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(4000)]
+    found = Encoder(WORD_BPE, "words", keep=1000).encode(pa.array(texts))
+    for text, a, b in zip(texts, found, plain(WORD_BPE, texts)):
+        assert a.tolist() == b.tolist(), repr(text)
+
+
+def other_tokenizer(tmp_path, **changed):
+    with open(WORD_BPE) as file:
+        made = json.load(file)
+    (tmp_path / "other.json").write_text(json.dumps(made | changed))
+    return str(tmp_path / "other.json")
+
+
+@pytest.mark.parametrize(
+    "changed",
+    [
+        {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}},
+        {"normalizer": {"type": "NFC"}},
+        {"normalizer": None},
+    ],
+)
+def test_a_tokenizer_that_parts_words_otherwise_gets_whole_words(tmp_path, changed):
+    path = other_tokenizer(tmp_path, **changed)
+    texts = ["Some words, and (others) don't", "x1y2 É. 12"]
+    assert [a.tolist() for a in Encoder(path, "words").encode(pa.array(texts))] == [b.tolist() for b in plain(path, texts)]
+
+
 def test_texts_are_encoded_in_small_batches(spark, monkeypatch):
     key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
     before = spark.conf.get(key)
