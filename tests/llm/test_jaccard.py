@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from rows import awkward, documents, near_copies, words
@@ -156,3 +157,26 @@ def test_components(spark):
     found = {r.node: r.root for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{k: 1 for k in range(1, 61)}, 100: 100, 200: 100, 300: 100, **{k: 500 for k in range(500, 560)}}
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_reach_the_workers_in_small_batches(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    def recorded(run):
+        def measured(*args):
+            long = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+            seen.append(max(r.bytes for r in long.mapInArrow(sizes, "bytes long").collect()))
+            return run(*args)
+
+        return measured
+
+    for name in ("global_order", "stage", "bit_table"):
+        monkeypatch.setattr(jaccard, name, recorded(getattr(jaccard, name)))
+    text = " ".join(f"w{k}" for k in range(40))
+    assert found_by(spark, [(1, text), (2, text + " x"), (3, "y")], 4, 85) == [(1, 37, 1), (2, 38, 1), (3, 1, 3)]
+    assert len(seen) > 3 and max(seen) < 8 << 20 and spark.conf.get(key) == before
